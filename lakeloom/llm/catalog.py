@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, toxicity
+from . import packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_additive_quality": quality.op1_additive_quality,
     "op3_cost_balanced_packing": packing.op3_cost_balanced_packing,
     "op5_nnpu_toxicity": toxicity.op5_nnpu_toxicity,
 }
