@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, toxicity
+from . import bpe, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_additive_quality": quality.op1_additive_quality,
+    "op2_chunk_reuse_bpe": bpe.op2_chunk_reuse_bpe,
     "op3_cost_balanced_packing": packing.op3_cost_balanced_packing,
     "op5_nnpu_toxicity": toxicity.op5_nnpu_toxicity,
 }
