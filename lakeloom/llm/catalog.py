@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, quality, toxicity
+from . import bpe, licenses, oracles, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_additive_quality": quality.op1_additive_quality,
     "op2_chunk_reuse_bpe": bpe.op2_chunk_reuse_bpe,
     "op3_cost_balanced_packing": packing.op3_cost_balanced_packing,
     "op5_nnpu_toxicity": toxicity.op5_nnpu_toxicity,
+    "op6_license_rules": licenses.op6_license_rules,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op6_license_rules": oracles.license_sql(),
 }
-ORACLE_SQL: dict[str, str] = {}
