@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, oracles, packing, quality, simhash, toxicity
+from . import bpe, licenses, oracles, packing, prefix_hash, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_additive_quality": quality.op1_additive_quality,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_nnpu_toxicity": toxicity.op5_nnpu_toxicity,
     "op6_license_rules": licenses.op6_license_rules,
     "op7_covering_simhash": simhash.op7_covering_simhash,
+    "op9_prefix_fingerprints": prefix_hash.op9_prefix_fingerprints,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_license_rules": oracles.license_sql(),
