@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, oracles, packing, prefix_hash, quality, simhash, toxicity
+from . import bpe, knn, licenses, oracles, packing, prefix_hash, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_additive_quality": quality.op1_additive_quality,
     "op2_chunk_reuse_bpe": bpe.op2_chunk_reuse_bpe,
     "op3_cost_balanced_packing": packing.op3_cost_balanced_packing,
+    "op4_voronoi_knn": knn.op4_voronoi_knn,
     "op5_nnpu_toxicity": toxicity.op5_nnpu_toxicity,
     "op6_license_rules": licenses.op6_license_rules,
     "op7_covering_simhash": simhash.op7_covering_simhash,
     "op9_prefix_fingerprints": prefix_hash.op9_prefix_fingerprints,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op4_voronoi_knn": oracles.KNN_SQL,
     "op6_license_rules": oracles.license_sql(),
 }
