@@ -41,7 +41,7 @@ from .common import byte_bpe, default_tokenizer, shuffle_partitions, table
 
 SCHEMA = "home long, bucket int, kind int, numbers binary, sizes binary, body binary"
 LEAST, MOST, MEAN_BITS = 192, 8192, 10
-LEVEL = 6
+LEVEL = 9
 
 
 def gear_hash(data: np.ndarray) -> np.ndarray:
@@ -49,9 +49,7 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
     gear = np.random.default_rng(32).integers(0, 2**32, 256, dtype=np.uint32)
     h = gear[data]
     for width in (1, 2, 4, 8, 16):
-        shifted = h[:-width] << np.uint32(width)
-        h = h.copy()
-        h[width:] += shifted
+        h[width:] += h[:-width] << np.uint32(width)
     return h
 
 
@@ -80,6 +78,30 @@ def sync_places(data: bytes) -> tuple[int, int] | None:
     return (int(hit[0]) + 1, int(hit[-1]) + 1) if len(hit) else None
 
 
+def packed_ids(ids: np.ndarray, sizes: np.ndarray, ends: bytes) -> bytes:
+    """Ids by their rank of frequency here, with the chunks' four sizes each and their ends, compressed."""
+    known, ranks, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    place = np.empty(len(known), dtype=np.int64)
+    place[order] = np.arange(len(known))
+    kind = "<u2" if len(known) <= 65536 else "<u4"
+    head = np.array([len(ids), len(known), len(sizes)], dtype="<u4").tobytes()
+    body = known[order].astype("<u4").tobytes() + np.ascontiguousarray(sizes.T).tobytes() + place[ranks].astype(kind).tobytes() + ends
+    return head + zstandard.compress(body, LEVEL)
+
+
+def unpacked_ids(packed: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """What ``packed_ids`` was given."""
+    n, k, chunks = np.frombuffer(packed[:12], dtype="<u4").tolist()
+    body = zstandard.decompress(packed[12:])
+    known = np.frombuffer(body, dtype="<u4", count=k)
+    sizes = np.frombuffer(body, dtype="<u4", count=4 * chunks, offset=4 * k).reshape(4, chunks).T
+    at = 4 * k + 16 * chunks
+    kind = np.dtype("<u2" if k <= 65536 else "<u4")
+    ids = known[np.frombuffer(body, dtype=kind, count=n, offset=at)]
+    return ids, sizes, body[at + kind.itemsize * n :]
+
+
 def _record(rows: list[tuple]) -> pa.RecordBatch:
     names = ("home", "bucket", "kind", "numbers", "sizes", "body")
     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
@@ -167,8 +189,7 @@ def _encode(tokenizer: str, memo_bytes: int):
                     cores.append(ids)
                     sizes.append((first, len(ids), size - last, first == size))
                 ends = b"".join(heads) + b"".join(tails)
-                core = np.concatenate(cores).astype("<u2" if len(bpe.pieces) <= 65536 else "<u4").tobytes()
-                yield _record([(row["home"], row["bucket"], 2, row["numbers"], np.array(sizes, dtype="<u4").tobytes(), len(core).to_bytes(8, "little") + zstandard.compress(core + ends, LEVEL))])
+                yield _record([(row["home"], row["bucket"], 2, row["numbers"], b"", packed_ids(np.concatenate(cores), np.array(sizes, dtype="<u4"), ends))])
 
     return task
 
@@ -185,13 +206,10 @@ def _assemble(tokenizer: str):
                 if row["kind"] == 0:
                     plan, keys = row["numbers"], row["sizes"]
                     continue
-                size = int.from_bytes(row["body"][:8], "little")
-                body = zstandard.decompress(row["body"][8:])
-                core = np.frombuffer(body[:size], dtype="<u2" if len(bpe.pieces) <= 65536 else "<u4")
-                sizes = np.frombuffer(row["sizes"], dtype="<u4").reshape(-1, 4)
-                head_at, core_at, tail_at = size, 0, size + int(sizes[:, 0].sum())
+                core, sizes, ends = unpacked_ids(row["body"])
+                head_at, core_at, tail_at = 0, 0, int(sizes[:, 0].sum())
                 for k, (first, n, last, bare) in zip(np.frombuffer(row["numbers"], dtype="<u4").tolist(), sizes.tolist(), strict=True):
-                    chunks[k] = (body[head_at : head_at + first], core[core_at : core_at + n], body[tail_at : tail_at + last], bool(bare))
+                    chunks[k] = (ends[head_at : head_at + first], core[core_at : core_at + n], ends[tail_at : tail_at + last], bool(bare))
                     head_at, core_at, tail_at = head_at + first, core_at + n, tail_at + last
         numbers = np.frombuffer(plan, dtype="<u4")
         n = int(numbers[0])
@@ -226,7 +244,7 @@ def _assemble(tokenizer: str):
     return block
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, block_bytes: int = 16_000_000, memo_bytes: int = 96_000_000) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str, block_bytes: int = 12_000_000, memo_bytes: int = 48_000_000) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every document's whole text."""
     parts = shuffle_partitions(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_cut(parts, block_bytes), SCHEMA)
@@ -241,7 +259,8 @@ def decode_ids(encoded: DataFrame, tokenizer: str) -> DataFrame:
         bpe = byte_bpe(tokenizer)
         for batch in batches:
             lists = batch.column("ids")
-            texts = [None if x is None else bpe.decode_bytes(x).decode("utf-8", "replace") for x in lists.to_pylist()]
+            values, offsets, absent = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_pylist(), lists.is_null().to_pylist()
+            texts = [None if gone else bpe.decode_bytes(values[lo:hi].tolist()).decode("utf-8", "replace") for lo, hi, gone in zip(offsets, offsets[1:], absent, strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(task, "doc_id long, ids array<int>, text string")
