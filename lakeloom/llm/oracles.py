@@ -15,7 +15,7 @@ def license_sql() -> str:
     every = [(label, phrase, keyword, 0, True) for label, phrase, keyword in BASE] + [(*r, False) for r in rules()]
     doubled = lambda p: " " + p.replace(" ", "  ") + " "
     # Within a character class a doubled blank means the same as one.
-    values = ",\n".join(f"({_text(label)}, {_text(doubled(p))}, {_text(k)}, {priority}, {base})" for label, p, k, priority, base in every)
+    values = ",\n".join(f"({_text(label)}, {_text(doubled(p))}, {_text(k.replace(' ', ' +'))}, {priority}, {base})" for label, p, k, priority, base in every)
     return f"""
 WITH rules(label, rx, kw, priority, base) AS (VALUES {values}),
 w AS (
