@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, knn, licenses, oracles, packing, prefix_hash, quality, simhash, toxicity
+from . import bpe, knn, licenses, oracles, packing, prefix_hash, quality, simhash, toxicity, units
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_additive_quality": quality.op1_additive_quality,
@@ -17,8 +17,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_license_rules": licenses.op6_license_rules,
     "op7_covering_simhash": simhash.op7_covering_simhash,
     "op9_prefix_fingerprints": prefix_hash.op9_prefix_fingerprints,
+    "op10_unit_dedup": units.op10_unit_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_voronoi_knn": oracles.KNN_SQL,
     "op6_license_rules": oracles.license_sql(),
+    "op10_unit_dedup": oracles.UNITS_SQL,
 }

@@ -68,3 +68,32 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 20
 """
+
+#: Units by position with windows; a run of repeats goes or stays as one.
+UNITS_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+x AS (SELECT rid, coalesce(doc_id, -9223372036854775808) AS rank, regexp_extract_all(text, '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS us FROM d),
+u AS (SELECT rid, rank, unnest(us) AS unit, unnest(range(len(us))) AS pos FROM x),
+n AS (
+  SELECT *, lower(trim(regexp_replace(unit, '[ \t\r\n]+', ' ', 'g'))) AS normal,
+    coalesce(sum(length(unit)) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+    len(regexp_extract_all(unit, '[^ \t\r\n]+')) AS words
+  FROM u
+),
+f AS (SELECT normal, min((rank, pos)) AS first FROM n GROUP BY normal),
+m AS (SELECT n.*, (n.rank, n.pos) > f.first AS again FROM n JOIN f USING (normal)),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY pos) - row_number() OVER (PARTITION BY rid, again ORDER BY pos) AS run FROM m),
+g AS (
+  SELECT rid, again, min(pos) AS pos, min(start) AS start, sum(length(unit)) AS size, string_agg(unit, '' ORDER BY pos) AS body,
+    again AND (max(words) >= 8 OR sum(words) >= 20) AS gone
+  FROM r GROUP BY rid, again, run
+)
+SELECT any_value(d.doc_id) AS doc_id,
+  CAST(any_value(len(x.us)) AS BIGINT) AS n_units,
+  CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_spans,
+  CAST(coalesce(sum(size) FILTER (WHERE gone), 0) AS BIGINT) AS n_removed_chars,
+  coalesce(string_agg(CAST(start AS BIGINT) || '+' || CAST(size AS BIGINT), ' ' ORDER BY pos) FILTER (WHERE gone), '') AS removed_spans,
+  sha256(coalesce(string_agg(body, '' ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM d JOIN x USING (rid) LEFT JOIN g USING (rid)
+GROUP BY rid
+"""
