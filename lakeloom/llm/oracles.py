@@ -72,7 +72,7 @@ WHERE rank <= 20
 #: Units by position with windows; a run of repeats goes or stays as one.
 UNITS_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
-x AS (SELECT rid, coalesce(doc_id, -9223372036854775808) AS rank, regexp_extract_all(text, '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS us FROM d),
+x AS (SELECT rid, coalesce(doc_id, -9223372036854775808) AS rank, regexp_extract_all(text, '[^.,!?\n]*[.,!?\n]+|[^.,!?\n]+') AS us FROM d),
 u AS (SELECT rid, rank, unnest(us) AS unit, unnest(range(len(us))) AS pos FROM x),
 n AS (
   SELECT *, lower(trim(regexp_replace(unit, '[ \t\r\n]+', ' ', 'g'))) AS normal,
@@ -85,7 +85,7 @@ m AS (SELECT n.*, (n.rank, n.pos) > f.first AS again FROM n JOIN f USING (normal
 r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY pos) - row_number() OVER (PARTITION BY rid, again ORDER BY pos) AS run FROM m),
 g AS (
   SELECT rid, again, min(pos) AS pos, min(start) AS start, sum(length(unit)) AS size, string_agg(unit, '' ORDER BY pos) AS body,
-    again AND (max(words) >= 8 OR sum(words) >= 20) AS gone
+    again AND (max(words) >= 12 OR sum(words) >= 20) AS gone
   FROM r GROUP BY rid, again, run
 )
 SELECT any_value(d.doc_id) AS doc_id,

@@ -1,7 +1,8 @@
-"""Substring deduplication by hashing lines and sentences.
+"""Substring deduplication by hashing lines and their clauses.
 
-A text is cut after each run of sentence ends and line feeds; the units cover it
-without gaps. A unit's digest is that of its lower-cased form with blanks
+A text is cut after each run of line feeds, sentence ends and commas, so that a
+passage set into the middle of a line still gives its own units; the units cover
+the text without gaps. A unit's digest is that of its lower-cased form with blanks
 collapsed. Over all documents the occurrence of least (doc_id, position) of each
 digest is the kept one; every other is a repeat. In a document, a run of
 neighbouring repeats is removed if one of its units has ``unit_words`` words or
@@ -13,8 +14,8 @@ before the shuffle; repeats are found by a join on the digest that adaptive
 execution can split where one line is in very many documents; a document's own
 repeats are all that is ever gathered, and text moves once, by doc_id.
 
-Defined cases: a null text is empty and stays null; a text without a sentence end
-is one unit; a null doc_id ranks before all others; rows that share a doc_id are
+Defined cases: a null text is empty and stays null; a text without any such
+mark is one unit; a null doc_id ranks before all others; rows that share a doc_id are
 told apart by their text, and equal rows (which rank alike) are treated alike;
 other columns pass through, but ``removed_spans`` and ``n_units`` are replaced; an
 empty table gives an empty result.
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 
 from .common import table
 
-UNIT = r"[^.!?\n]*[.!?\n]+|[^.!?\n]+"
+UNIT = r"[^.,!?\n]*[.,!?\n]+|[^.,!?\n]+"
 BLANKS = r"[ \t\r\n]+"
 _UNIT = re.compile(UNIT)
 
@@ -74,7 +75,7 @@ def removed_spans(text: str, again: set[int], unit_words: int, run_words: int) -
     return gone, kept, len(spans)
 
 
-def dedup_units(docs: DataFrame, unit_words: int = 8, run_words: int = 20) -> DataFrame:
+def dedup_units(docs: DataFrame, unit_words: int = 12, run_words: int = 20) -> DataFrame:
     """``docs`` with repeats taken out of ``text``, with ``removed_spans`` (array of start, length in the original) and ``n_units``."""
     docs = docs.drop("removed_spans", "n_units")
     joined = _keyed(docs).join(repeats(docs), ["_rank", "_row"], "left").drop("_rank", "_row")
