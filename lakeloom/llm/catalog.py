@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, knn, licenses, oracles, packing, prefix_hash, quality, simhash, toxicity, units
+from . import bpe, knn, licenses, oracles, packing, prefix_hash, quality, simhash, substrings, toxicity, units
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_additive_quality": quality.op1_additive_quality,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_nnpu_toxicity": toxicity.op5_nnpu_toxicity,
     "op6_license_rules": licenses.op6_license_rules,
     "op7_covering_simhash": simhash.op7_covering_simhash,
+    "op8_suffix_dedup": substrings.op8_suffix_dedup,
     "op9_prefix_fingerprints": prefix_hash.op9_prefix_fingerprints,
     "op10_unit_dedup": units.op10_unit_dedup,
 }
