@@ -10,9 +10,9 @@ the run has ``run_words``, so that short sentences which agree by chance stay.
 Where a unit lay in the original is kept as spans of code points.
 
 Digests are two 64-bit hashes. The least occurrence is a grouped minimum, combined
-before the shuffle; repeats are found by a join on the digest that adaptive
-execution can split where one line is in very many documents; a document's own
-repeats are all that is ever gathered, and text moves once, by doc_id.
+before the shuffle; repeats are found by a join on the digest, in which the few
+digests that can be hot are salted; a document's own repeats are all that is ever
+gathered, and text moves once, by doc_id.
 
 Defined cases: a null text is empty and stays null; a text without any such
 mark is one unit; a null doc_id ranks before all others; rows that share a doc_id are
@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import checkpointed, table
 
 UNIT = r"[^.,!?\n]*[.,!?\n]+|[^.,!?\n]+"
 BLANKS = r"[ \t\r\n]+"
 _UNIT = re.compile(UNIT)
+HOT_SHARE, SALTS = 1000, 64
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -47,8 +48,15 @@ def repeats(docs: DataFrame) -> DataFrame:
     cut = _keyed(docs).select("_rank", "_row", F.posexplode(F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(UNIT), F.lit(0))).alias("_at", "unit"))
     normal = F.lower(F.trim(F.regexp_replace("unit", BLANKS, " ")))
     units = cut.select("_rank", "_row", "_at", normal.alias("normal")).select("_rank", "_row", "_at", F.xxhash64("normal").alias("h1"), F.xxhash64("normal", F.lit("second")).alias("h2"))
-    firsts = units.groupBy("h1", "h2").agg(F.min(F.struct("_rank", "_at")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    again = units.join(firsts.select("h1", "h2", "first"), ["h1", "h2"]).where(F.struct("_rank", "_at") > F.col("first"))
+    firsts = checkpointed(units.groupBy("h1", "h2").agg(F.min(F.struct("_rank", "_at")).alias("first"), F.count("*").alias("n")).where("n > 1"))
+    # A digest with more than 1/HOT_SHARE of all repeated units is hot: there are at most HOT_SHARE
+    # of them, so their broadcast is bounded. Their rows are dealt over SALTS tasks each.
+    total = firsts.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") * HOT_SHARE > F.lit(total)
+    hot = firsts.where(is_hot).select("h1", "h2", F.lit(True).alias("hot"))
+    salted = units.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("_rank", "_at"), F.lit(SALTS))).otherwise(0).cast("int")).drop("hot")
+    dealt = firsts.select("h1", "h2", "first", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
+    again = salted.join(dealt, ["h1", "h2", "salt"]).where(F.struct("_rank", "_at") > F.col("first"))
     return again.groupBy("_rank", "_row").agg(F.array_sort(F.collect_set("_at")).alias("_repeats"))
 
 
