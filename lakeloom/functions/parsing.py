@@ -10,15 +10,22 @@ from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# Types as objects: a worker that imports this module has no session to read type names with.
+TEXT, TEXTS = T.StringType(), T.ArrayType(T.StringType())
+LINKS = T.ArrayType(T.StructType([T.StructField("href", TEXT), T.StructField("label", TEXT)]))
+ROWS = T.ArrayType(T.MapType(TEXT, TEXT))
+ENTITY = T.StructType([T.StructField("title", TEXT), T.StructField("category", TEXT), T.StructField("images", TEXTS), T.StructField("items", TEXTS)])
 
-@F.pandas_udf("string")
+
+@F.pandas_udf(TEXT)
 def html_unescape(text: pd.Series) -> pd.Series:
     """Entities to characters."""
     return text.map(lambda t: None if t is None else html.unescape(t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(TEXT)
 def absolute_url(base: pd.Series, link: pd.Series) -> pd.Series:
     """``link`` resolved against ``base``."""
     return pd.Series([None if b is None or k is None else urljoin(b, k) for b, k in zip(base, link, strict=True)])
@@ -57,7 +64,7 @@ def _object_text(body: str | None) -> str | None:
     return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(TEXT)
 def lenient_object(body: pd.Series) -> pd.Series:
     """The body as strict JSON text of a non-empty object, repaired if need be; else null."""
     return body.map(_object_text)
@@ -84,7 +91,7 @@ class _Links(HTMLParser):
             self.href = None
 
 
-@F.pandas_udf("array<struct<href: string, label: string>>")
+@F.pandas_udf(LINKS)
 def html_links(body: pd.Series) -> pd.Series:
     """All links of a page with their text, in order."""
 
@@ -118,7 +125,7 @@ class _Tables(HTMLParser):
             self.cell = None
 
 
-@F.pandas_udf("array<map<string, string>>")
+@F.pandas_udf(ROWS)
 def html_table(body: pd.Series) -> pd.Series:
     """Rows of a page's tables by the names of the header row."""
 
@@ -172,7 +179,7 @@ class _Entity(HTMLParser):
             self.item = None
 
 
-@F.pandas_udf("struct<title: string, category: string, images: array<string>, items: array<string>>")
+@F.pandas_udf(ENTITY)
 def html_entity(body: pd.Series) -> pd.DataFrame:
     """Title, category, images and list items of an entity page."""
     rows = []
@@ -219,7 +226,7 @@ class _Markdown(HTMLParser):
             self.out.append("\n")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(TEXT)
 def html_to_markdown(body: pd.Series, base: pd.Series) -> pd.Series:
     """Markdown with absolute links; runs of blank lines become one."""
 

@@ -121,3 +121,9 @@ def volume_path(number: Column) -> Column:
 def shard_number(name: Column) -> Column:
     """Trailing number of a shard's file name, -1 without one."""
     return F.coalesce(F.regexp_extract(name, r"(\d+)\.[A-Za-z0-9]+$", 1).try_cast("int"), F.lit(-1))
+
+
+def category_name(kind: Column, names: dict[int, str], unknown: str = "unknown") -> Column:
+    """The label of a numeric type; sites number theirs differently, so the map is a parameter."""
+    pairs = [x for number, name in names.items() for x in (F.lit(number), F.lit(name))]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), kind), F.lit(unknown))

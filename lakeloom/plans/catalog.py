@@ -1,10 +1,8 @@
-"""Named queries over the driver's tables, each with the SQL that checks it."""
+"""All named queries over the driver's tables, each with the SQL that checks it where SQL can."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import functions, measures, scans, tables, upserts  # noqa: F401  each registers its queries
+from .registry import ORACLE_SQL, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
