@@ -10,7 +10,8 @@ document of smaller doc_id. Documents are stored in blocks, and then:
 2. Strings. Neighbouring windows with one minimizer form one string. Blocks send
    each distinct string of a shared minimizer once, with the least doc_id that has
    it there, to the minimizer's bucket; so equal windows meet, in one task.
-3. Suffixes. The bucket's distinct strings are sorted by induction (module
+3. Suffixes. Strings whose minimizer no other distinct string of the bucket has are
+   done; the others are sorted by induction (module
    ``suffix_sort``; queues spill to disk, so a bucket may be larger than memory),
    and neighbours in the order with a common prefix of ``window`` bytes form a
    class. A class's least doc_id says, for each window of each string, whether an
@@ -64,6 +65,17 @@ def _opened(body: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(body), dtype=kind) if body else np.zeros(0, kind)
 
 
+def _mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hashes of strings of ``SEED`` bytes, given as their two halves."""
+    h = first * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(31)
+    h += second
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h
+
+
 def _blocks(block_bytes: int):
     """Rows of whole documents: ids with a mark for null, sizes, and the bytes."""
 
@@ -111,12 +123,7 @@ class Block:
         if total < window:
             return
         words = np.ndarray((total - 7,), dtype="<u8", buffer=self.text, strides=(1,))
-        h = words[:-8] * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(31)
-        h += words[8:]
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
+        h = _mixed(words[:-8], words[8:])
         # The hash above, the place below: the least is the leftmost of the least hash.
         place_bits = np.uint64(max(1, int(total - 1).bit_length()))
         key = (h >> place_bits) << place_bits | np.arange(len(h), dtype=np.uint64)
@@ -219,8 +226,27 @@ def _send_strings(window: int, buckets: int):
     return block
 
 
+def comparable(strings: list[bytes], window: int) -> np.ndarray:
+    """Which of the strings may have a window in common with another: those whose minimizer another has.
+
+    All windows of a string have one minimizer, so that of the first window tells
+    it. Its upper half is compared: the lower may decide ties by place.
+    """
+    sizes = np.array([len(s) for s in strings], dtype=np.int64)
+    data = np.frombuffer(b"".join(strings) + b"\0" * 16, dtype=np.uint8)
+    words = np.ndarray((len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
+    starts = np.cumsum(sizes) - sizes
+    seed = np.full(len(strings), ~np.uint64(0))
+    for j in range(window - SEED + 1):
+        np.minimum(seed, _mixed(words[starts + j], words[starts + j + 8]), out=seed)
+    _, number, times = np.unique(seed >> np.uint64(32), return_inverse=True, return_counts=True)
+    return times[number] > 1
+
+
 def earlier_windows(strings: list[bytes], least: np.ndarray, window: int, memory: int) -> list[np.ndarray]:
     """For each distinct string, and each of its windows, whether a string of a smaller rank has the window."""
+    if not strings:
+        return []
     sizes = np.array([len(s) for s in strings], dtype=np.int64)
     data = np.frombuffer(b"\0".join(strings) + b"\0" * (window + 16), dtype=np.uint8)
     starts = np.cumsum(sizes + 1) - sizes - 1
@@ -270,7 +296,11 @@ def _sort_bucket(window: int, memory: int):
                 parts.append((row["home"], row["bucket"], row["numbers"], ranks, of))
         if not parts:
             return
-        found = earlier_windows(list(number), least, window, memory)
+        strings = list(number)
+        found = [np.zeros(len(s) - window + 1, dtype=bool) for s in strings]
+        some = np.flatnonzero(comparable(strings, window))
+        for i, bits in zip(some.tolist(), earlier_windows([strings[i] for i in some], least[some], window, memory), strict=True):
+            found[i] = bits
         bits = np.array([int.from_bytes(np.packbits(f, bitorder="little").tobytes(), "little") for f in found], dtype=object)
         every = np.array([(1 << len(f)) - 1 for f in found], dtype=object)
         bits, every = bits.astype("<u8"), every.astype("<u8")

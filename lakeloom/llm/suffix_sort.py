@@ -151,7 +151,7 @@ def by_doubling(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in the order of their first ``depth`` symbols at least."""
     n = len(text)
     rank, span = text.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     while True:
         further = np.full(n, -1, dtype=np.int64)
         if span < n:
@@ -159,7 +159,7 @@ def by_doubling(text: np.ndarray, depth: int) -> np.ndarray:
         if span >= depth:
             return order
         key = rank * (int(further.max(initial=0)) + 2) + further + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal keys get equal ranks, so their order is free
         new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
         rank = np.empty(n, dtype=np.int64)
         rank[order] = new
