@@ -38,14 +38,14 @@ _UNIT = re.compile(UNIT)
 HOT_SHARE, SALTS = 1000, 64
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, rank: str = "_rank", row: str = "_row") -> DataFrame:
     """``docs`` with what tells a row: its rank and a digest of its text."""
-    return docs.withColumns({"_rank": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "_row": F.xxhash64(F.col("text").cast("string"))})
+    return docs.withColumns({rank: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), row: F.xxhash64(F.col("text").cast("string"))})
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """``_rank``, ``_row`` and the sorted positions ``_repeats`` of units that stand earlier elsewhere."""
-    cut = _keyed(docs).select("_rank", "_row", F.posexplode(F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(UNIT), F.lit(0))).alias("_at", "unit"))
+    cut = _keyed(docs.select("doc_id", "text")).select("_rank", "_row", F.posexplode(F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(UNIT), F.lit(0))).alias("_at", "unit"))
     normal = F.lower(F.trim(F.regexp_replace("unit", BLANKS, " ")))
     units = cut.select("_rank", "_row", "_at", normal.alias("normal")).select("_rank", "_row", "_at", F.xxhash64("normal").alias("h1"), F.xxhash64("normal", F.lit("second")).alias("h2"))
     firsts = checkpointed(units.groupBy("h1", "h2").agg(F.min(F.struct("_rank", "_at")).alias("first"), F.count("*").alias("n")).where("n > 1"))
@@ -86,7 +86,12 @@ def removed_spans(text: str, again: set[int], unit_words: int, run_words: int) -
 def dedup_units(docs: DataFrame, unit_words: int = 12, run_words: int = 20) -> DataFrame:
     """``docs`` with repeats taken out of ``text``, with ``removed_spans`` (array of start, length in the original) and ``n_units``."""
     docs = docs.drop("removed_spans", "n_units")
-    joined = _keyed(docs).join(repeats(docs), ["_rank", "_row"], "left").drop("_rank", "_row")
+    mark = "_"
+    while any(c.startswith(mark) for c in docs.columns):  # names that no column has
+        mark += "_"
+    rank, row, again_at = (mark + c for c in ("rank", "row", "repeats"))
+    found = repeats(docs).toDF(rank, row, again_at)
+    joined = _keyed(docs, rank, row).join(found, [rank, row], "left").drop(rank, row)
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))
     schema = T.StructType([*(T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType) for f in docs.schema), T.StructField("removed_spans", span), T.StructField("n_units", T.LongType())])
     names = docs.columns
@@ -95,7 +100,7 @@ def dedup_units(docs: DataFrame, unit_words: int = 12, run_words: int = 20) -> D
     def task(batches):
         for batch in batches:
             texts, out, counts = [], [], []
-            for text, again in zip(batch.column("text").to_pylist(), batch.column("_repeats").to_pylist(), strict=True):
+            for text, again in zip(batch.column("text").to_pylist(), batch.column(again_at).to_pylist(), strict=True):
                 gone, kept, n = removed_spans(text or "", set(again or ()), unit_words, run_words)
                 texts.append(text if not gone else "".join(text[a : a + k] for a, k in kept))
                 out.append([{"start": a, "length": k} for a, k in gone])
