@@ -125,12 +125,27 @@ def shallow_tree(g: np.ndarray, h: np.ndarray, leaves: int, least: float, ridge:
 
 
 def grid_tree(g: np.ndarray, h: np.ndarray, least: float, ridge: float) -> np.ndarray:
-    """A tree of four leaves on a grid: the best cut of the rows, then one of the columns on each side."""
-    top = shallow_tree(g.sum(1), h.sum(1), 2, least, ridge)
-    cut = np.flatnonzero(np.diff(top))
-    out = np.zeros_like(g)
-    for rows in np.split(np.arange(len(g)), cut + 1):
-        out[rows] = shallow_tree(g[rows].sum(0), h[rows].sum(0), 2, least, ridge)
+    """A tree of at most four leaves on a grid: the cut of the rows, and one of the columns on each side, that together gain most."""
+    worth = lambda a, b: a * a / (b + ridge)
+    above_g, above_h = np.cumsum(g, 0)[:-1], np.cumsum(h, 0)[:-1]
+
+    def columns_cut(cg: np.ndarray, ch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each row cut, the worth of one side and where its columns are cut (0: nowhere)."""
+        cg, ch = np.cumsum(cg, 1), np.cumsum(ch, 1)
+        left_g, left_h, all_g, all_h = cg[:, :-1], ch[:, :-1], cg[:, -1:], ch[:, -1:]
+        cut = worth(left_g, left_h) + worth(all_g - left_g, all_h - left_h)
+        cut[(left_h < least) | (all_h - left_h < least)] = -np.inf
+        value, whole = cut.max(1), worth(all_g, all_h)[:, 0]
+        whole[all_h[:, 0] < least] = -np.inf
+        return np.maximum(value, whole), np.where(value > whole, cut.argmax(1) + 1, 0)
+
+    (top, top_cut), (bottom, bottom_cut) = columns_cut(above_g, above_h), columns_cut(g.sum(0) - above_g, h.sum(0) - above_h)
+    out = np.full(g.shape, -g.sum() / (h.sum() + ridge))
+    row = int((top + bottom).argmax())
+    if np.isfinite(top[row] + bottom[row]):
+        for rows, col in ((slice(0, row + 1), int(top_cut[row])), (slice(row + 1, None), int(bottom_cut[row]))):
+            for cols in (slice(0, col), slice(col, None)):
+                out[rows, cols] = -g[rows, cols].sum() / (h[rows, cols].sum() + ridge)
     return out
 
 

@@ -28,7 +28,7 @@ def test_top_k_equals_brute_force(spark, kind):
     centres = rng.normal(size=(6, 8)) * 3
     rows = []
     for i in range(400):
-        v = centres[i % 6] + rng.normal(size=8) * 0.05 if kind == "clusters" else rng.normal(size=8) * (1e9 if kind == "large" else 1)
+        v = centres[i % 6] + rng.normal(size=8) * 0.05 if kind == "clusters" else rng.normal(size=8) * (2e6 if kind == "large" else 1)
         rows.append((i, [float(x) for x in v]))
     rows += [(500, rows[20][1]), (520, rows[20][1]), (540, None), (560, [1.0, None]), (580, [float("nan")] * 8), (600, [float("inf")] * 8), (620, []), (None, rows[3][1]), (640, [0.0] * 8)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
