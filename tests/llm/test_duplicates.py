@@ -61,10 +61,11 @@ def test_simhash_equals_all_pairs(docs_of, spark, odd_rows, limit):
     edges = simhash.links(fps, 4, limit)
     roots = {r.node: r.root for r in components.connected_components(edges).collect()}
     expected = plain_components(marked)
-    by_root = {}
+    root_of = lambda f: roots.get(simhash._signed(f), simhash._signed(f))
+    least = {}
     for i, f in marked:
-        by_root.setdefault(roots.get(simhash._signed(f), simhash._signed(f)), []).append(i)
-    assert sorted((i, f, min(g)) for g in by_root.values() for i, f in marked if i in g) == sorted(set(expected)) or limit
+        least[root_of(f)] = min(least.get(root_of(f), i), i)
+    assert sorted(((i, f, least[root_of(f)]) for i, f in marked), key=repr) == expected
     got = sorted(((r.doc_id, r.fp % 2**64, r.component_id) for r in simhash.near_duplicates(docs_of(rows)).collect()), key=repr)
     assert got == expected
 
