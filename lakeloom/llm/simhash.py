@@ -39,22 +39,31 @@ from .components import connected_components
 BITS = 64
 
 
-def fingerprint(text: str, shingle: int, seed: int) -> int:
-    """The SimHash of one whole text, unsigned."""
+def shingle_hashes(text: str, shingle: int, seed: int) -> np.ndarray:
+    """XXH64 of each word shingle in order; of a text of fewer words, of the whole sequence."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z only, ASCII blanks only
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     joined = b" ".join(words)
     n = max(1, len(words) - shingle + 1)
     ends = ends[shingle - 1 :] if len(words) >= shingle else ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), ends.tolist(), strict=True)), dtype="<u8", count=n)
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), ends.tolist(), strict=True)), dtype="<u8", count=n)
+
+
+def simhash(hashes: np.ndarray) -> int:
+    """The majority of each bit, unsigned; zero of nothing."""
     votes = np.zeros(BITS, dtype=np.int64)
-    for lo in range(0, n, 1 << 15):
+    for lo in range(0, len(hashes), 1 << 15):
         votes += np.unpackbits(hashes[lo : lo + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(votes * 2 > n, bitorder="little").tobytes(), "little")
+    return int.from_bytes(np.packbits(votes * 2 > len(hashes), bitorder="little").tobytes(), "little")
+
+
+def fingerprint(text: str, shingle: int, seed: int) -> int:
+    """The SimHash of one whole text, unsigned."""
+    return simhash(shingle_hashes(text, shingle, seed))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
