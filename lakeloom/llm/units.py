@@ -33,8 +33,8 @@ from pyspark.sql import types as T
 from .common import checkpointed, table
 
 UNIT = r"[^.,!?\n]*[.,!?\n]+|[^.,!?\n]+"
+LINE = r"[^\n]*\n+|[^\n]+"
 BLANKS = r"[ \t\r\n]+"
-_UNIT = re.compile(UNIT)
 HOT_SHARE, SALTS = 1000, 64
 
 
@@ -43,9 +43,9 @@ def _keyed(docs: DataFrame, rank: str = "_rank", row: str = "_row") -> DataFrame
     return docs.withColumns({rank: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), row: F.xxhash64(F.col("text").cast("string"))})
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, unit: str = UNIT) -> DataFrame:
     """``_rank``, ``_row`` and the sorted positions ``_repeats`` of units that stand earlier elsewhere."""
-    cut = _keyed(docs.select("doc_id", "text")).select("_rank", "_row", F.posexplode(F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(UNIT), F.lit(0))).alias("_at", "unit"))
+    cut = _keyed(docs.select("doc_id", "text")).select("_rank", "_row", F.posexplode(F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(unit), F.lit(0))).alias("_at", "unit"))
     normal = F.lower(F.trim(F.regexp_replace("unit", BLANKS, " ")))
     units = cut.select("_rank", "_row", "_at", normal.alias("normal")).select("_rank", "_row", "_at", F.xxhash64("normal").alias("h1"), F.xxhash64("normal", F.lit("second")).alias("h2"))
     firsts = checkpointed(units.groupBy("h1", "h2").agg(F.min(F.struct("_rank", "_at")).alias("first"), F.count("*").alias("n")).where("n > 1"))
@@ -60,9 +60,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     return again.groupBy("_rank", "_row").agg(F.array_sort(F.collect_set("_at")).alias("_repeats"))
 
 
-def removed_spans(text: str, again: set[int], unit_words: int, run_words: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]], int]:
+def removed_spans(text: str, again: set[int], unit_words: int, run_words: int, unit: str = UNIT) -> tuple[list[tuple[int, int]], list[tuple[int, int]], int]:
     """Removed and kept spans (start, length) of one text, and how many units it has."""
-    spans = [m.span() for m in _UNIT.finditer(text)]
+    spans = [m.span() for m in re.finditer(unit, text)]
     gone: list[tuple[int, int]] = []
     kept: list[tuple[int, int]] = []
     at = 0
@@ -83,14 +83,14 @@ def removed_spans(text: str, again: set[int], unit_words: int, run_words: int) -
     return gone, kept, len(spans)
 
 
-def dedup_units(docs: DataFrame, unit_words: int = 12, run_words: int = 20) -> DataFrame:
+def dedup_units(docs: DataFrame, unit_words: int = 12, run_words: int = 20, unit: str = UNIT) -> DataFrame:
     """``docs`` with repeats taken out of ``text``, with ``removed_spans`` (array of start, length in the original) and ``n_units``."""
     docs = docs.drop("removed_spans", "n_units")
     mark = "_"
     while any(c.startswith(mark) for c in docs.columns):  # names that no column has
         mark += "_"
     rank, row, again_at = (mark + c for c in ("rank", "row", "repeats"))
-    found = repeats(docs).toDF(rank, row, again_at)
+    found = repeats(docs, unit).toDF(rank, row, again_at)
     joined = _keyed(docs, rank, row).join(found, [rank, row], "left").drop(rank, row)
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))
     schema = T.StructType([*(T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType) for f in docs.schema), T.StructField("removed_spans", span), T.StructField("n_units", T.LongType())])
@@ -101,7 +101,7 @@ def dedup_units(docs: DataFrame, unit_words: int = 12, run_words: int = 20) -> D
         for batch in batches:
             texts, out, counts = [], [], []
             for text, again in zip(batch.column("text").to_pylist(), batch.column(again_at).to_pylist(), strict=True):
-                gone, kept, n = removed_spans(text or "", set(again or ()), unit_words, run_words)
+                gone, kept, n = removed_spans(text or "", set(again or ()), unit_words, run_words, unit)
                 texts.append(text if not gone else "".join(text[a : a + k] for a, k in kept))
                 out.append([{"start": a, "length": k} for a, k in gone])
                 counts.append(n)
@@ -111,6 +111,11 @@ def dedup_units(docs: DataFrame, unit_words: int = 12, run_words: int = 20) -> D
     return joined.withColumn("text", F.col("text").cast("string")).mapInArrow(task, schema)
 
 
+def dedup_lines(docs: DataFrame) -> DataFrame:
+    """``dedup_units`` over whole lines: every repeat of a line with a word goes, however short; blank lines go only with it."""
+    return dedup_units(docs, unit_words=1, run_words=1, unit=LINE)
+
+
 def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = dedup_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return made.select(
