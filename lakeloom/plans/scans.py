@@ -169,6 +169,13 @@ def scan_generator(t: Tables) -> DataFrame:
     return readers.probes(t("labels").sparkSession, t("labels"), "doc_id", 0, 300)
 
 
+@query("scan_generator_whole", "SELECT r AS doc_id FROM (SELECT unnest(range(min(doc_id), max(doc_id) + 1)) AS r FROM labels) WHERE r NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+def scan_generator_whole(t: Tables) -> DataFrame:
+    """``scan_generator`` from the least to the newest known id."""
+    span = measures.id_span(t("labels"), "doc_id").first()
+    return readers.probes(t("labels").sparkSession, t("labels"), "doc_id", span["min_id"], span["max_id"])
+
+
 @query("proj_recursive_find", "SELECT doc_id, CAST(i AS INTEGER) AS pos, CASE i WHEN 0 THEN 'a' ELSE 'b' END AS name, CASE i WHEN 0 THEN '/p/' || doc_id ELSE '/q' END AS path FROM labels, range(2) t(i)")
 def proj_recursive_find(t: Tables) -> DataFrame:
     body = F.concat(F.lit('{"post": {"file": {"name": "a", "path": "/p/'), F.col("doc_id"), F.lit('"}, "more": [{"x": {"name": "b", "path": "/q"}}]}}'))
@@ -203,6 +210,14 @@ def sink_dated_snapshot(t: Tables) -> DataFrame:
     return writers.write_snapshot(some, place, F.col("o_orderdate")).groupBy(F.col("ym").cast("int").alias("ym"), F.col("ymd").cast("int").alias("ymd")).agg(F.count("*").alias("n"))
 
 
+@query("sink_dated_snapshot_whole", "SELECT CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS ym, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS ymd, count(*) AS n FROM orders GROUP BY ALL")
+def sink_dated_snapshot_whole(t: Tables) -> DataFrame:
+    """``sink_dated_snapshot`` of all orders."""
+    _, place = _place(t)
+    rows = t("orders").select("o_orderkey", "o_orderdate")
+    return writers.write_snapshot(rows, place, F.col("o_orderdate")).groupBy(F.col("ym").cast("int").alias("ym"), F.col("ymd").cast("int").alias("ymd")).agg(F.count("*").alias("n"))
+
+
 @query("sink_volumes")
 def sink_volumes(t: Tables) -> DataFrame:
     _, place = _place(t)
