@@ -127,8 +127,8 @@ SENTENCES = (
     ("reserved", "(?:all|some|no) rights (?:are )?reserved", "reserved", 40),
 )
 
-#: Strings of which every rule needs one (all of its parts); without them a text has no detection.
-ANCHORS = ("licen", "gpl", "spdx", "reserved", "copyright", "permission", "redistribut", "domain public", "warrant", "commons", "cc0", "endorse", "unencumbered", "proprietary", "unauthori", "later version")
+#: Strings of which every rule needs one (all of its parts), but for the versions of families and "cc by"; without any a text has no detection.
+ANCHORS = ("licen", "gpl", "spdx", "reserved", "copyright", "permission", "redistribut", "domain public", "warrant", "commons", "cc0", "endorse", "unencumbered", "proprietary", "unauthori", "later version", "software provided")
 GRANT = "(?:licen[sc]ed|released|distributed|available|provided|published|covered|offered) (?:to you )?(?:under|by|according to) (?:the )?(?:terms of )?(?:the )?(?:license )?"
 
 
@@ -156,6 +156,11 @@ def rules() -> list[tuple[str, str, str, int]]:
     return made
 
 
+def version_keywords() -> list[str]:
+    """Keywords of the families that have versions."""
+    return sorted({keyword for *_, keywords, versions in FAMILIES if versions for keyword in keywords.split("|")})
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -194,9 +199,12 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     lowered = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select("doc_id", "text", F.lower("text").alias("low"))
     low = F.col("low")
     anchored = low.contains("cc") & low.rlike(f"cc{BETWEEN}by")
+    every = lambda anchor: functools.reduce(lambda a, b: a & b, [low.contains(part) for part in anchor.split()])  # noqa: E731  parts may stand apart in any way
     for anchor in ANCHORS:
-        every = [low.contains(part) for part in anchor.split()]  # parts of an anchor may stand apart in any way
-        anchored = anchored | functools.reduce(lambda a, b: a & b, every)
+        anchored = anchored | every(anchor)
+    # A version may follow a family's name without "license".
+    named = functools.reduce(lambda a, b: a | b, map(every, version_keywords()))
+    anchored = anchored | (named & low.rlike("[0-9]"))
     spaced = F.concat(F.lit(" "), F.array_join(words(F.translate("text", ASCII_UPPER, ASCII_LOWER)), " "), F.lit(" "))
     read = lowered.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), F.when(anchored, spaced).alias("words"))
     hits = F.expr(f"""
