@@ -4,9 +4,10 @@ Every document becomes ids plus an end id. Runs of ``seq_len`` ids fill a
 sequence by themselves; what remains of each document is packed, shard by
 shard, in descending length: each piece goes to the sequence of lowest estimated
 cost (linear in its tokens plus quadratic in each piece's own length, as
-attention inside a document is) that still has room. A piece that fits nowhere
-whole is cut. A shard has as many sequences as its tokens need, so less than one
-sequence of padding falls to a shard of about two million tokens.
+attention inside a document is) among all that have room for it. Only a piece for
+which no sequence has room is cut. A shard has as many sequences of ``seq_len`` as
+its tokens fill, and shorter ones at powers of two for the rest, which need no
+padding; so each sequence of a shard is filled to its end.
 
 No shuffle: a task packs the rows it reads, holding one shard of ids at most.
 
@@ -18,7 +19,6 @@ ignored. Ties in length keep arrival order, ties in cost the lower sequence.
 
 from __future__ import annotations
 
-import heapq
 import zlib
 
 import numpy as np
@@ -29,40 +29,37 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import byte_bpe, default_tokenizer, table
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-#: How many sequences without room for a whole piece are passed over before it is cut.
-PASSED_OVER = 32
+
+
+def capacities(total: int, seq_len: int) -> list[int]:
+    """Full sequences for ``total`` ids, and powers of two for what is left."""
+    rest = total % seq_len
+    return [seq_len] * (total // seq_len) + [1 << b for b in reversed(range(rest.bit_length())) if rest >> b & 1]
 
 
 def balance(lengths: list[int], seq_len: int, linear: float, quadratic: float) -> list[list[tuple[int, int, int, int]]]:
     """For each item its parts as (start, length, sequence, offset).
 
-    ``lengths`` are 1 to ``seq_len``; sequences are numbered from 0.
+    ``lengths`` are 1 to ``seq_len``; sequences are numbered from 0, their sizes
+    those of ``capacities``. Their number is bounded by the shard's size, so the
+    cheapest with room is looked for among all of them at once.
     """
-    count = -(-sum(lengths) // seq_len)
-    used = [0] * count
-    heap = [(0.0, s) for s in range(count)]
+    room = np.array(capacities(sum(lengths), seq_len), dtype=np.int64)
+    size = room.copy()
+    cost = np.zeros(len(room))
     placed: list[list[tuple[int, int, int, int]]] = [[] for _ in lengths]
     for item in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
         start, left = 0, lengths[item]
         while left:
-            passed, chosen = [], None
-            while heap and len(passed) < PASSED_OVER:
-                cost, s = heapq.heappop(heap)
-                if seq_len - used[s] >= left:
-                    chosen = (cost, s)
-                    break
-                passed.append((cost, s))
-            if chosen is None:  # cut: as much as the lowest-cost sequence can take
-                chosen, passed = passed[0], passed[1:]
-            cost, s = chosen
-            take = min(left, seq_len - used[s])
-            placed[item].append((start, take, s, used[s]))
-            used[s] += take
+            open_to = room >= left
+            if not open_to.any():  # cut: as much as the lowest-cost sequence can take
+                open_to = room > 0
+            s = int(np.where(open_to, cost, np.inf).argmin())
+            take = min(left, int(room[s]))
+            placed[item].append((start, take, s, int(size[s] - room[s])))
+            room[s] -= take
+            cost[s] += linear * take + quadratic * take * take
             start, left = start + take, left - take
-            if used[s] < seq_len:
-                heapq.heappush(heap, (cost + linear * take + quadratic * take * take, s))
-            for x in passed:
-                heapq.heappush(heap, x)
     return placed
 
 
@@ -89,7 +86,7 @@ def pack_documents(
             for (doc, at, ids, total), parts in zip(shard, balance([len(x[2]) for x in shard], seq_len, linear, quadratic), strict=True):
                 for start, length, seq, offset in parts:
                     rows.append((doc, at + start, length, zlib.crc32(ids[start : start + length].tobytes()), total, base + state["next"] + seq, offset))
-            state["next"] += -(-sum(len(x[2]) for x in shard) // seq_len)
+            state["next"] += len(capacities(sum(len(x[2]) for x in shard), seq_len))
             shard.clear()
 
         def out():
