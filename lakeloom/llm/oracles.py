@@ -69,25 +69,27 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 20
 """
 
-#: Units by position with windows; a run of repeats goes or stays as one.
+#: Clauses by position with windows; a line is the clauses up to one with a line feed.
 UNITS_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
-x AS (SELECT rid, coalesce(doc_id, -9223372036854775808) AS rank, regexp_extract_all(text, '[^.,!?\n]*[.,!?\n]+|[^.,!?\n]+') AS us FROM d),
+x AS (SELECT rid, coalesce(doc_id, -9223372036854775808) AS rank, regexp_extract_all(text, '[^.,!?\n]*(?:[.,!?]+\n*|\n+)|[^.,!?\n]+') AS us FROM d),
 u AS (SELECT rid, rank, unnest(us) AS unit, unnest(range(len(us))) AS pos FROM x),
 n AS (
   SELECT *, lower(trim(regexp_replace(unit, '[ \t\r\n]+', ' ', 'g'))) AS normal,
-    coalesce(sum(length(unit)) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+    coalesce(sum(length(unit)) OVER before, 0) AS start,
+    coalesce(sum(CASE WHEN contains(unit, chr(10)) THEN 1 ELSE 0 END) OVER before, 0) AS line,
     len(regexp_extract_all(unit, '[^ \t\r\n]+')) AS words
-  FROM u
+  FROM u WINDOW before AS (PARTITION BY rid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
+l AS (SELECT rid, rank, line, sum(words) > 0 AS worded, lower(trim(regexp_replace(string_agg(unit, '' ORDER BY pos), '[ \t\r\n]+', ' ', 'g'))) AS normal FROM n GROUP BY rid, rank, line),
+lf AS (SELECT normal, min((rank, line)) AS first FROM l GROUP BY normal),
+lg AS (SELECT rid, line, worded AND (rank, line) > first AS line_gone FROM l JOIN lf USING (normal)),
 f AS (SELECT normal, min((rank, pos)) AS first FROM n GROUP BY normal),
-m AS (SELECT n.*, (n.rank, n.pos) > f.first AS again FROM n JOIN f USING (normal)),
+m AS (SELECT n.*, line_gone, (n.rank, n.pos) > f.first AND NOT line_gone AS again FROM n JOIN f USING (normal) JOIN lg ON lg.rid = n.rid AND lg.line = n.line),
 r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY pos) - row_number() OVER (PARTITION BY rid, again ORDER BY pos) AS run FROM m),
-g AS (
-  SELECT rid, again, min(pos) AS pos, min(start) AS start, sum(length(unit)) AS size, string_agg(unit, '' ORDER BY pos) AS body,
-    again AND (max(words) >= 12 OR sum(words) >= 20) AS gone
-  FROM r GROUP BY rid, again, run
-)
+k AS (SELECT *, line_gone OR (again AND (max(words) OVER whole >= 12 OR sum(words) OVER whole >= 20)) AS gone FROM r WINDOW whole AS (PARTITION BY rid, again, run)),
+i AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY pos) - row_number() OVER (PARTITION BY rid, gone ORDER BY pos) AS island FROM k),
+g AS (SELECT rid, gone, min(pos) AS pos, min(start) AS start, sum(length(unit)) AS size, string_agg(unit, '' ORDER BY pos) AS body FROM i GROUP BY rid, gone, island)
 SELECT any_value(d.doc_id) AS doc_id,
   CAST(any_value(len(x.us)) AS BIGINT) AS n_units,
   CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_spans,

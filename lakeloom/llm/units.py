@@ -1,24 +1,28 @@
-"""Substring deduplication by hashing lines and their clauses.
-
-A text is cut after each run of line feeds, sentence ends and commas, so that a
-passage set into the middle of a line still gives its own units; the units cover
-the text without gaps. A unit's digest is that of its lower-cased form with blanks
-collapsed. Over all documents the occurrence of least (doc_id, position) of each
-digest is the kept one; every other is a repeat. In a document, a run of
-neighbouring repeats is removed if one of its units has ``unit_words`` words or
-the run has ``run_words``, so that short sentences which agree by chance stay.
-Where a unit lay in the original is kept as spans of code points.
-
-Digests are two 64-bit hashes. The least occurrence is a grouped minimum, combined
-before the shuffle; repeats are found by a join on the digest, in which the few
-digests that can be hot are salted; a document's own repeats are all that is ever
-gathered, and text moves once, by doc_id.
-
-Defined cases: a null text is empty and stays null; a text without any such
-mark is one unit; a null doc_id ranks before all others; rows that share a doc_id are
-told apart by their text, and equal rows (which rank alike) are treated alike;
-other columns pass through, but ``removed_spans`` and ``n_units`` are replaced; an
-empty table gives an empty result.
+"""Substring deduplication by hashing lines and the clauses inside them.
+
+A text is cut into lines, and lines into clauses after sentence ends and commas;
+either kind of unit covers the text without gaps. A unit's digest is that of its
+lower-cased form with blanks collapsed. Over all documents the occurrence of least
+(doc_id, position) of each digest is the kept one; every other is a repeat.
+
+A repeated line is removed, however short. Clauses serve passages that were set into
+the middle of a line, whose line is new as a whole: in the lines that stay, a run of
+neighbouring repeated clauses is removed if one of them has ``unit_words`` words or the
+run has ``run_words``; two or three words that agree by chance stay. Where a unit lay
+in the original is kept as spans of code points.
+
+Digests are two independent 64-bit hashes. The least occurrence is a grouped minimum,
+combined before the shuffle; repeats are found by a join on the digest, in which the few
+digests that can be hot are salted; the positions of a document's own repeats, each once,
+are all that is ever gathered, and text moves once, by doc_id.
+
+Defined cases: a null text is empty and stays null; a text without line feeds is one
+line, one without any mark one clause; texts of any length are cut whole; blanks are
+those of ``BLANKS``, no others; a line without a word is never removed; a null doc_id
+ranks before all others; rows that share a doc_id are told apart by their text, and
+equal rows (which rank alike) are treated alike; other columns pass through, but
+``removed_spans`` and ``n_units`` (the number of clauses) are replaced; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,9 +36,12 @@ from pyspark.sql import types as T
 
 from .common import checkpointed, table
 
-UNIT = r"[^.,!?\n]*[.,!?\n]+|[^.,!?\n]+"
 LINE = r"[^\n]*\n+|[^\n]+"
+CLAUSE = r"[^.,!?\n]*(?:[.,!?]+\n*|\n+)|[^.,!?\n]+"
+#: Kinds of units in the order of their numbers.
+KINDS = (LINE, CLAUSE)
 BLANKS = r"[ \t\r\n]+"
+WORDS = re.compile(r"[^ \t\r\n]+")
 HOT_SHARE, SALTS = 1000, 64
 
 
@@ -43,11 +50,15 @@ def _keyed(docs: DataFrame, rank: str = "_rank", row: str = "_row") -> DataFrame
     return docs.withColumns({rank: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), row: F.xxhash64(F.col("text").cast("string"))})
 
 
-def repeats(docs: DataFrame, unit: str = UNIT) -> DataFrame:
-    """``_rank``, ``_row`` and the sorted positions ``_repeats`` of units that stand earlier elsewhere."""
-    cut = _keyed(docs.select("doc_id", "text")).select("_rank", "_row", F.posexplode(F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(unit), F.lit(0))).alias("_at", "unit"))
+def repeats(docs: DataFrame) -> DataFrame:
+    """``_rank``, ``_row`` and sorted ``_repeats``: of units that stand earlier elsewhere, twice their position plus the kind's number."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    found = lambda kind: F.transform(F.regexp_extract_all(text, F.lit(KINDS[kind]), F.lit(0)), lambda u, i: F.struct((i * 2 + kind).alias("at"), u.alias("unit")))
+    cut = _keyed(docs.select("doc_id", "text")).select("_rank", "_row", F.inline(F.concat(found(0), found(1))).alias("_at", "unit"))
     normal = F.lower(F.trim(F.regexp_replace("unit", BLANKS, " ")))
-    units = cut.select("_rank", "_row", "_at", normal.alias("normal")).select("_rank", "_row", "_at", F.xxhash64("normal").alias("h1"), F.xxhash64("normal", F.lit("second")).alias("h2"))
+    kind = F.col("_at") % 2
+    # A hash of several columns is seeded by those before: with the constants first, the two are hashes of the text by different seeds.
+    units = cut.select("_rank", "_row", "_at", kind.alias("kind"), normal.alias("normal")).select("_rank", "_row", "_at", F.xxhash64("kind", "normal").alias("h1"), F.xxhash64(F.lit("second"), "kind", "normal").alias("h2"))
     firsts = checkpointed(units.groupBy("h1", "h2").agg(F.min(F.struct("_rank", "_at")).alias("first"), F.count("*").alias("n")).where("n > 1"))
     # A digest with more than 1/HOT_SHARE of all repeated units is hot: there are at most HOT_SHARE
     # of them, so their broadcast is bounded. Their rows are dealt over SALTS tasks each.
@@ -60,37 +71,47 @@ def repeats(docs: DataFrame, unit: str = UNIT) -> DataFrame:
     return again.groupBy("_rank", "_row").agg(F.array_sort(F.collect_set("_at")).alias("_repeats"))
 
 
-def removed_spans(text: str, again: set[int], unit_words: int, run_words: int, unit: str = UNIT) -> tuple[list[tuple[int, int]], list[tuple[int, int]], int]:
-    """Removed and kept spans (start, length) of one text, and how many units it has."""
-    spans = [m.span() for m in re.finditer(unit, text)]
-    gone: list[tuple[int, int]] = []
-    kept: list[tuple[int, int]] = []
+def removed_spans(text: str, again: list[int], unit_words: int, run_words: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]], int]:
+    """Removed and kept spans (start, length) of one text, and how many clauses it has."""
+    if not again:
+        return [], [(0, len(text))], sum(1 for _ in re.finditer(CLAUSE, text))
+    lines, clauses = ({code // 2 for code in again if code % 2 == kind} for kind in (0, 1))
+    line_gone = [i in lines and WORDS.search(m.group()) is not None for i, m in enumerate(re.finditer(LINE, text))]
+    spans = [m.span() for m in re.finditer(CLAUSE, text)]
+    gone, repeated, line = [], [], 0
+    for i, (_, end) in enumerate(spans):
+        gone.append(line_gone[line])
+        repeated.append(i in clauses and not line_gone[line])
+        line += text[end - 1] == "\n"
     at = 0
     while at < len(spans):
-        end = at
-        if at in again:
-            total = longest = 0
-            while end < len(spans) and end in again:
-                words = len(text[slice(*spans[end])].split())
-                total, longest, end = total + words, max(longest, words), end + 1
-            target = gone if longest >= unit_words or total >= run_words else kept
-        else:
-            while end < len(spans) and end not in again:
+        end = at + 1
+        if repeated[at]:
+            while end < len(spans) and repeated[end]:
                 end += 1
-            target = kept
-        target.append((spans[at][0], spans[end - 1][1] - spans[at][0]))
+            words = [len(WORDS.findall(text[slice(*spans[i])])) for i in range(at, end)]
+            if max(words) >= unit_words or sum(words) >= run_words:
+                gone[at:end] = [True] * (end - at)
         at = end
-    return gone, kept, len(spans)
+    parts: tuple[list, list] = ([], [])
+    at = 0
+    while at < len(spans):
+        end = at + 1
+        while end < len(spans) and gone[end] == gone[at]:
+            end += 1
+        parts[not gone[at]].append((spans[at][0], spans[end - 1][1] - spans[at][0]))
+        at = end
+    return *parts, len(spans)
 
 
-def dedup_units(docs: DataFrame, unit_words: int = 12, run_words: int = 20, unit: str = UNIT) -> DataFrame:
+def dedup_units(docs: DataFrame, unit_words: int = 12, run_words: int = 20) -> DataFrame:
     """``docs`` with repeats taken out of ``text``, with ``removed_spans`` (array of start, length in the original) and ``n_units``."""
     docs = docs.drop("removed_spans", "n_units")
     mark = "_"
     while any(c.startswith(mark) for c in docs.columns):  # names that no column has
         mark += "_"
     rank, row, again_at = (mark + c for c in ("rank", "row", "repeats"))
-    found = repeats(docs, unit).toDF(rank, row, again_at)
+    found = repeats(docs).toDF(rank, row, again_at)
     joined = _keyed(docs, rank, row).join(found, [rank, row], "left").drop(rank, row)
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))
     schema = T.StructType([*(T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType) for f in docs.schema), T.StructField("removed_spans", span), T.StructField("n_units", T.LongType())])
@@ -101,7 +122,7 @@ def dedup_units(docs: DataFrame, unit_words: int = 12, run_words: int = 20, unit
         for batch in batches:
             texts, out, counts = [], [], []
             for text, again in zip(batch.column("text").to_pylist(), batch.column(again_at).to_pylist(), strict=True):
-                gone, kept, n = removed_spans(text or "", set(again or ()), unit_words, run_words, unit)
+                gone, kept, n = removed_spans(text or "", again or [], unit_words, run_words)
                 texts.append(text if not gone else "".join(text[a : a + k] for a, k in kept))
                 out.append([{"start": a, "length": k} for a, k in gone])
                 counts.append(n)
@@ -111,11 +132,6 @@ def dedup_units(docs: DataFrame, unit_words: int = 12, run_words: int = 20, unit
     return joined.withColumn("text", F.col("text").cast("string")).mapInArrow(task, schema)
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``dedup_units`` over whole lines: every repeat of a line with a word goes, however short; blank lines go only with it."""
-    return dedup_units(docs, unit_words=1, run_words=1, unit=LINE)
-
-
 def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = dedup_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return made.select(

@@ -142,45 +142,80 @@ def test_induced_order_is_the_order_of_suffixes(memory):
         assert heads == sorted(heads)
 
 
-UNIT = re.compile(r"[^.,!?\n]*[.,!?\n]+|[^.,!?\n]+")
-
-
 def plain_units(rows):
-    """Units of all documents in order; a repeat is one whose normal form stood earlier."""
-    cut = [(i, t, UNIT.findall(t or "")) for i, t in rows]
+    """Lines, and the clauses of those that stay, in order of all documents; a repeat is one whose normal form stood earlier."""
     rank = lambda i: -(2**63) if i is None else i
     normal = lambda u: re.sub(r"[ \t\r\n]+", " ", u).strip(" ").lower()
+    words = lambda u: [w for w in re.split(r"[ \t\r\n]+", u) if w]
+    cut = []
+    for i, t in rows:
+        lines = re.findall(r"[^\n]*\n+|[^\n]+", t or "")
+        clauses = [(k, c) for k, line in enumerate(lines) for c in re.findall(r"[^.,!?\n]*[.,!?]+\n*|[^.,!?\n]*\n+|[^.,!?\n]+", line)]
+        assert "".join(c for _, c in clauses) == (t or "")
+        cut.append((i, t, lines, clauses))
     first = {}
-    for i, _, us in cut:
-        for pos, u in enumerate(us):
-            first[normal(u)] = min(first.get(normal(u), (rank(i), pos)), (rank(i), pos))
+    for i, _, lines, clauses in cut:
+        for kind, of in ((0, lines), (1, [c for _, c in clauses])):
+            for pos, u in enumerate(of):
+                first[kind, normal(u)] = min(first.get((kind, normal(u)), (rank(i), pos)), (rank(i), pos))
     out = []
-    for i, t, us in cut:
-        again = {pos for pos, u in enumerate(us) if (rank(i), pos) > first[normal(u)]}
-        kept, gone, at = "", [], 0
-        for is_again, run in itertools.groupby(range(len(us)), key=lambda p: p in again):
-            run = list(run)
-            body = "".join(us[p] for p in run)
-            words = [len(us[p].split()) for p in run]
-            if is_again and (max(words) >= 12 or sum(words) >= 20):
-                gone.append((at, len(body)))
+    for i, t, lines, clauses in cut:
+        again = lambda kind, u, pos: (rank(i), pos) > first[kind, normal(u)]  # noqa: B023, E731
+        line_gone = [again(0, u, k) and bool(words(u)) for k, u in enumerate(lines)]
+        state = ["line" if line_gone[k] else "again" if again(1, c, pos) else "new" for pos, (k, c) in enumerate(clauses)]
+        gone = []
+        for kind, run in itertools.groupby(range(len(clauses)), key=lambda p: state[p]):  # noqa: B023
+            sizes = [len(words(clauses[p][1])) for p in run]
+            gone += [kind == "line" or (kind == "again" and (max(sizes) >= 12 or sum(sizes) >= 20))] * len(sizes)
+        kept, spans, at = "", [], 0
+        for is_gone, run in itertools.groupby(range(len(clauses)), key=lambda p: gone[p]):  # noqa: B023
+            body = "".join(clauses[p][1] for p in run)
+            if is_gone:
+                spans.append((at, len(body)))
             else:
                 kept += body
             at += len(body)
-        out.append((i, None if t is None else kept, gone))
+        out.append((i, None if t is None else kept, spans))
     return sorted(out, key=repr)
 
 
 def test_unit_dedup_equals_plain(docs_of, odd_rows, clashing):
     rng = random.Random(8)
-    sentences = [" ".join(rng.choice("alpha beta gamma delta eps zeta eta theta".split()) for _ in range(rng.randint(1, 25))) + rng.choice([".", ",", "!\n", "? "]) for _ in range(40)]
-    rows = [(i // 2 if i % 7 == 0 else i, "".join(rng.choice(sentences) for _ in range(rng.randint(0, 12)))) for i in range(80)] + [(1000 + (i or 0), t) for i, t in odd_rows] + [(None, sentences[0] * 2)]
+    sentences = [" ".join(rng.choice("alpha beta gamma delta eps zeta eta theta".split()) for _ in range(rng.randint(1, 25))) + rng.choice([".", ",", "!\n", "? ", "\n", "\n\n.", "?!"]) for _ in range(40)]
+    rows = [(i // 2 if i % 7 == 0 else i, "".join(rng.choice(sentences) for _ in range(rng.randint(0, 12)))) for i in range(80)] + [(1000 + (i or 0), t) for i, t in odd_rows] + [(None, sentences[0] * 2), (2000, "\n\nx"), (2001, "\n\nx"), (2002, ".,\n!a b")]
     got = units.dedup_units(clashing(docs_of(rows))).collect()
     assert sorted(((r.doc_id, r.text, [(s.start, s.length) for s in r.removed_spans]) for r in got), key=repr) == plain_units(rows)
     assert {"fp", "score"} <= set(got[0].asDict())
     assert units.dedup_units(docs_of([])).count() == 0
 
 
+def test_unit_query_equals_sql_on_odd_rows(docs_of, odd_rows, spark, tmp_path):
+    """Blanks beyond ASCII are no blanks, short lines go, and both sides say so."""
+    import duckdb
+
+    from lakeloom.llm import oracles
+
+    wide = " ".join(f"w{k}" for k in range(14))
+    rows = [(10, wide + "."), (11, f"own text, {wide}."), (12, "Accept all cookies\nmine"), (13, "yours\naccept  all cookies\n"), (14, "one two\n"), (15, "one two\nand"), *odd_rows]
+    docs_of(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    df = units.op10_unit_dedup(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    made = con.execute(oracles.UNITS_SQL)
+    names = [d[0] for d in made.description]
+    got = sorted((tuple(r) for r in df.collect()), key=repr)
+    assert got == sorted((tuple(r[names.index(c)] for c in df.columns) for r in made.fetchall()), key=repr)
+    spans = {r.doc_id: r.removed_spans for r in df.collect()}
+    assert (spans[11], spans[12], spans[13], spans[15]) == ("", "", "6+20", "0+8")
+
+
+def test_the_two_hashes_of_a_unit_are_independent(spark):
+    """Texts with one first hash must not share the second: it is no function of the first."""
+    row = spark.sql("SELECT xxhash64('second', 1, 'text') AS h2, xxhash64(xxhash64(1, 'text')) AS again, xxhash64(1, 'text', 'second') AS after").first()
+    assert len({row.h2, row.again, row.after}) == 3
+    assert xxhash.xxh64_intdigest(b"text", xxhash.xxh64_intdigest(b"second", 42)) == spark.sql("SELECT xxhash64('second', 'text') AS h").first().h % 2**64
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     rows = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, 5), (None, 3)]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(rows, "u long, v long")).collect()}
