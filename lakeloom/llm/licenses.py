@@ -157,7 +157,7 @@ SENTENCES = (
     ("apache-1.0", "this product includes software developed by the apache group", "apache group", 90),
     # GNU
     ("gpl", "free software you can redistribute it and or modify it", "redistribut", 65),
-    ("gpl", "(?:either )?version [23] (?:of the license )?or (?:at your option )?any later version", "later", 60),
+    ("gpl", "(?:either )?version [23] (?:of the license )?or (?:at your option )?any later version", "any later version", 60),
     ("gpl", "you should have received a copy of the gnu general public license", "received a copy", 72),
     ("gpl", "www gnu org licenses gpl", "gnu org", 74),
     ("gpl", "under the terms of the gnu general public license", "gnu general public", 72),
@@ -287,13 +287,13 @@ SENTENCES = (
     ("copyright", "copyright (?:held )?by", "copyright", 20),
     ("proprietary", "(?:proprietary and confidential|confidential and proprietary)", "proprietary", 80),
     ("proprietary", "unauthori[sz]ed (?:copying|use|reproduction|distribution)", "unauthori", 70),
-    ("proprietary", "may not be (?:copied|reproduced|distributed|disclosed) (?:in whole or in part )?without (?:the )?(?:express |prior )*written (?:permission|consent)", "written", 74),
+    ("proprietary", "may not be (?:copied|reproduced|distributed|disclosed) (?:in whole or in part )?without (?:the )?(?:express |prior )*written (?:permission|consent)", "written permission|written consent", 74),
     ("proprietary", "trade secrets? (?:and|or) confidential information", "trade secret", 76),
     ("proprietary", "this software is the property of", "is the property of", 68),
     ("proprietary", "by (?:installing|downloading|using) (?:this|the) software you agree to (?:be bound by )?the terms", "you agree to", 72),
     ("proprietary", "end user license agreement", "end user license", 70),
     ("proprietary", "you may not (?:reverse engineer|decompile|disassemble)", "you may not", 72),
-    ("evaluation", "for (?:evaluation|trial|internal|personal) (?:use|purposes) only", "only", 62),
+    ("evaluation", "for (?:evaluation|trial|internal|personal) (?:use|purposes) only", "evaluation|trial|internal|personal", 62),
     ("reserved", "(?:all|some|no) rights (?:are )?reserved", "reserved", 40),
     ("reserved", "alle rechte vorbehalten", "vorbehalten", 40),
     ("reserved", "tous droits r[eéÉ]serv[eéÉ]s", "droits", 40),
@@ -342,14 +342,15 @@ def fixed_words(pattern: str) -> list[str]:
 
 
 def gates() -> list[tuple[str, ...]]:
-    """Groups of strings; a text with a detection holds all strings of one group, whatever stands between its words."""
-    found = {tuple(keyword.split()) for *_, keyword in BASE}
+    """Groups of strings; a text with a detection holds all strings of one group, whatever stands between its words.
+    A string between blanks is a whole word."""
+    parts = lambda k: (k,) if k == f" {k.strip()} " and " " not in k.strip() else tuple(k.split())
+    found = {parts(keyword) for *_, keyword in BASE}
     for _, pattern, keywords, _ in rules():
         words = fixed_words(pattern)
         anchor = next((a for a in ANCHORS if any(a in w for w in words)), None)
-        found |= {(anchor,)} if anchor else {tuple(k.split()) for k in keywords.split("|")}
-    some = {g for g in found if not any(h != g and all(any(part in own for own in g) for part in h) for h in found)}
-    return sorted(some)
+        found |= {(anchor,)} if anchor else {parts(k) for k in keywords.split("|")}
+    return sorted(g for g in found if not any(h != g and all(any(part in own for own in g) for part in h) for h in found))
 
 
 def _quoted(text: str) -> str:
@@ -413,7 +414,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     # Lowered once: the column is read many times, so the optimiser leaves it where it is.
     lowered = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select("doc_id", "text", F.lower("text").alias("low"))
     low = F.col("low")
-    held = lambda group: functools.reduce(operator.and_, [low.contains(part) for part in group])  # noqa: E731  parts may stand apart in any way
+    whole = lambda part: low.rlike(f"(?:^|{BETWEEN}){part.strip()}(?:{BETWEEN}|$)") if part.startswith(" ") else F.lit(True)
+    held = lambda group: functools.reduce(operator.and_, [low.contains(part.strip()) & whole(part) for part in group])  # noqa: E731  parts may stand apart in any way
     gated = functools.reduce(operator.or_, map(held, gates()))
     spaced = F.concat(F.lit(" "), F.array_join(words(F.translate("text", ASCII_UPPER, ASCII_LOWER)), " "), F.lit(" "))
     read = lowered.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), F.when(gated, spaced).alias("words"))

@@ -15,10 +15,11 @@ Equal fingerprints are collapsed first, so copies never meet in a bucket. A
 bucket's fingerprints are linked by a forest (each new member is compared with
 those not yet reached), not by all pairs, which keeps the components exact. A
 bucket beyond ``bucket_limit`` is dealt again by ``radius`` + 1 segments of the
-bits that its key leaves out: one segment of any linked pair is equal. The
-components are then joined as tables.
+bits that its key leaves out: one segment of any linked pair is equal. What is too
+large still is cut into blocks, and each task links two blocks of at most
+``bucket_limit`` fingerprints. The components are then joined as tables.
 
-Defined cases: a null text is empty; a text without words has fingerprint zero
+Defined cases: texts of any length are read whole; a null text is empty; a text without words has fingerprint zero
 and is linked like any other; a text of fewer words than a shingle has one, the
 whole sequence; repeated rows give one result row each; a null doc_id takes part,
 and never is the least of its component unless all are null (then null); other
@@ -27,6 +28,8 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -83,9 +86,9 @@ def covering_masks(radius: int) -> list[int]:
     return [sum(1 << i for i in range(BITS) if ((i % codes + 1) & v).bit_count() & 1) for v in range(1, codes + 1)]
 
 
-def segment_masks(kept: int, radius: int) -> list[int]:
-    """The bits outside ``kept``, dealt to ``radius`` + 1 segments."""
-    out = [0] * (radius + 1)
+def finer_masks(kept: int, radius: int) -> list[int]:
+    """``kept`` with one more of ``radius`` + 1 segments of the other bits each."""
+    out = [kept] * (radius + 1)
     for k, i in enumerate(i for i in range(BITS) if not kept >> i & 1):
         out[k % (radius + 1)] |= 1 << i
     return out
@@ -114,36 +117,35 @@ def forest(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a), np.concatenate(b)
 
 
-def _link_buckets(radius: int, limit: int | None):
-    """Over rows sorted by (slot, key): edges of each bucket; buckets beyond ``limit`` pass on as rows of kind 1."""
+def _link_buckets(radius: int, limit: int):
+    """Over rows sorted by (mask, key): edges of each bucket (kind 0); buckets beyond ``limit`` pass on as rows of kind 1, with their mask in ``v``."""
 
     def task(batches):
-        slot_now, key_now, held, large = None, None, [], False
+        mask_now, key_now, held, large = None, None, [], False
 
         def close():
             if held and not large:
                 fps = np.concatenate(held)
                 if len(fps) > 1:
-                    return [(0, 0, *forest(fps, radius))]
+                    return [(0, *forest(fps, radius))]
             return []
 
         for batch in batches:
-            slots = batch.column("slot").to_numpy(zero_copy_only=False)
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
-            fps = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            cuts = np.flatnonzero((np.diff(slots) != 0) | (np.diff(keys) != 0)) + 1
+            masks, keys, fps = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "key", "fp"))
+            fps = fps.view(np.uint64)
+            cuts = np.flatnonzero((np.diff(masks) != 0) | (np.diff(keys) != 0)) + 1
             out = []
             for lo, hi in zip([0, *cuts], [*cuts, len(fps)], strict=True):
                 if hi == lo:
                     continue
-                if slots[lo] != slot_now or keys[lo] != key_now:
+                if masks[lo] != mask_now or keys[lo] != key_now:
                     out += close()
-                    slot_now, key_now, held, large = slots[lo], keys[lo], [], False
+                    mask_now, key_now, held, large = masks[lo], keys[lo], [], False
                 held.append(fps[lo:hi])
-                if limit is not None and (large or sum(map(len, held)) > limit):
+                if large or sum(map(len, held)) > limit:
                     large = True
                     rows = np.concatenate(held)
-                    out.append((1, int(slot_now), rows, rows))
+                    out.append((1, rows, np.full(len(rows), mask_now).view(np.uint64)))
                     held = [rows[:0]]
             yield _edges(out)
         yield _edges(close())
@@ -152,31 +154,67 @@ def _link_buckets(radius: int, limit: int | None):
 
 
 def _edges(parts) -> pa.RecordBatch:
-    parts = [p for p in parts if len(p[2])]
+    parts = [p for p in parts if len(p[1])]
     column = lambda i: np.concatenate([p[i] for p in parts]).view(np.int64) if parts else np.zeros(0, np.int64)
-    each = lambda i: np.repeat([p[i] for p in parts], [len(p[2]) for p in parts]).astype(np.int32) if parts else np.zeros(0, np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(each(0)), pa.array(each(1)), pa.array(column(2)), pa.array(column(3))], names=["kind", "slot", "u", "v"])
+    kinds = np.repeat([p[0] for p in parts], [len(p[1]) for p in parts]).astype(np.int32) if parts else np.zeros(0, np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(column(1)), pa.array(column(2))], names=["kind", "u", "v"])
+
+
+EDGES = "kind int, u long, v long"
+KEYED = "mask long, key long, fp long"
+
+
+def _finer(radius: int):
+    """Rows of large buckets, as (fp, mask), under each finer key."""
+
+    def task(batches):
+        for batch in batches:
+            fps, masks = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("u", "v"))
+            out: list[tuple] = []
+            for mask in np.unique(masks).tolist():
+                some = fps[masks == mask]
+                out += [(np.full(len(some), m, np.uint64), some & np.uint64(m), some) for m in finer_masks(mask, radius)]
+            columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.uint64)] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=["mask", "key", "fp"])
+
+    return task
+
+
+def _bucketed(rows: DataFrame, radius: int, limit: int, parts: int) -> DataFrame:
+    return checkpointed(rows.repartition(parts, "mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_link_buckets(radius, limit), EDGES))
 
 
-EDGES = "kind int, slot int, u long, v long"
+def _block_forest(radius: int):
+    def task(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield _edges([(0, *forest(np.concatenate([b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64) for b in batches]), radius))])
+
+    return task
 
 
-def _bucketed(rows: DataFrame, radius: int, limit: int | None, parts: int) -> DataFrame:
-    return rows.repartition(parts, "slot", "key").sortWithinPartitions("slot", "key", "fp").mapInArrow(_link_buckets(radius, limit), EDGES)
+def _blocks(large: DataFrame, radius: int, limit: int) -> DataFrame:
+    """Edges of buckets (fp, mask) of any size: each pair of a bucket's blocks by itself."""
+    keyed = large.select(F.col("v").alias("mask"), F.col("u").bitwiseAND(F.col("v")).alias("key"), F.col("u").alias("fp"))
+    counted = checkpointed(keyed.groupBy("mask", "key").agg(F.ceil(2 * F.count("*") / F.lit(limit)).cast("int").alias("blocks")))
+    mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    dealt = keyed.join(counted, ["mask", "key"]).select("mask", "key", "fp", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pair = dealt.select("mask", "key", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "fp")
+    return pair.groupBy("mask", "key", "a", "b").applyInArrow(_block_forest(radius), EDGES)
 
 
 def links(fps: DataFrame, radius: int = 4, bucket_limit: int = 4096) -> DataFrame:
     """Edges ``u``, ``v`` between distinct values of ``fp``; they connect what all links would."""
     parts = shuffle_partitions(fps)
-    masks = covering_masks(radius)
-    keyed = fps.select("fp", F.explode(F.array(*(F.struct(F.lit(v).alias("slot"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for v, m in enumerate(masks)))).alias("k")).select("fp", "k.slot", "k.key")
-    found = checkpointed(_bucketed(keyed, radius, bucket_limit, parts))
-    edges = found.where("kind = 0").select("u", "v")
-    large = found.where("kind = 1").select("slot", F.col("u").alias("fp"))
-    # Of a large bucket: the table's key and one segment of what it leaves out make the finer key.
-    finer = F.array(*(F.array(*(F.struct(F.lit(v * (radius + 1) + s).alias("slot"), F.col("fp").bitwiseAND(F.lit(_signed(m | part))).alias("key")) for s, part in enumerate(segment_masks(m, radius)))) for v, m in enumerate(masks)))
-    dealt = large.select("fp", F.explode(F.element_at(finer, F.col("slot") + 1)).alias("k")).select("fp", "k.slot", "k.key")
-    return edges.unionByName(_bucketed(dealt, radius, None, parts).select("u", "v"))
+    tables = F.array(*(F.struct(F.lit(_signed(m)).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for m in covering_masks(radius)))
+    found = _bucketed(fps.select(F.inline(tables), "fp"), radius, bucket_limit, parts)
+    edges = found.where("kind = 0")
+    large = found.where("kind = 1")
+    if not large.isEmpty():
+        found = _bucketed(large.select("u", "v").mapInArrow(_finer(radius), KEYED), radius, bucket_limit, parts)
+        edges = edges.unionByName(found.where("kind = 0"))
+        large = found.where("kind = 1")
+        if not large.isEmpty():
+            edges = edges.unionByName(_blocks(large, radius, bucket_limit))
+    return edges.select("u", "v")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: int = 42) -> DataFrame:
@@ -185,18 +223,11 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
     firsts = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = connected_components(links(firsts.select("fp"), radius))
     rooted = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    leasts = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(leasts, "root").select("fp", "component_id")
+    # Written before the join, so that a component of many fingerprints can be split there.
+    leasts = checkpointed(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
+    classes = rooted.select("fp", "root").join(leasts, "root").select("fp", "component_id")
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, radius: int = 4) -> DataFrame:
-    """``docs`` with one row for each component: that of the least doc_id. Rows without a doc_id stay."""
-    found = near_duplicates(docs, radius)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
-
-
 def op7_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

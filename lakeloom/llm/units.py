@@ -52,9 +52,10 @@ def _keyed(docs: DataFrame, rank: str = "_rank", row: str = "_row") -> DataFrame
 
 def repeats(docs: DataFrame) -> DataFrame:
     """``_rank``, ``_row`` and sorted ``_repeats``: of units that stand earlier elsewhere, twice their position plus the kind's number."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    found = lambda kind: F.transform(F.regexp_extract_all(text, F.lit(KINDS[kind]), F.lit(0)), lambda u, i: F.struct((i * 2 + kind).alias("at"), u.alias("unit")))
-    cut = _keyed(docs.select("doc_id", "text")).select("_rank", "_row", F.inline(F.concat(found(0), found(1))).alias("_at", "unit"))
+    read = _keyed(docs.select("doc_id", "text")).select("_rank", "_row", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    of = lambda kind: F.regexp_extract_all("text", F.lit(KINDS[kind]), F.lit(0))
+    placed = read.select("_rank", "_row", F.size(of(0)).alias("lines"), F.posexplode(F.concat(of(0), of(1))).alias("pos", "unit"))
+    cut = placed.select("_rank", "_row", F.when(F.col("pos") < F.col("lines"), F.col("pos") * 2).otherwise((F.col("pos") - F.col("lines")) * 2 + 1).alias("_at"), "unit")
     normal = F.lower(F.trim(F.regexp_replace("unit", BLANKS, " ")))
     kind = F.col("_at") % 2
     # A hash of several columns is seeded by those before: with the constants first, the two are hashes of the text by different seeds.

@@ -53,7 +53,7 @@ def near_texts(seed, n):
     return out
 
 
-@pytest.mark.parametrize("limit", [4096, 2])
+@pytest.mark.parametrize("limit", [4096, 12])
 def test_simhash_equals_all_pairs(docs_of, spark, odd_rows, limit):
     rows = near_texts(3, 150) + [(1000 + (i or 0), t) for i, t in odd_rows]
     marked = [(i, plain_fingerprint(t)) for i, t in rows]
@@ -75,8 +75,24 @@ def test_simhash_null_ids_empty_and_clashes(docs_of, odd_rows, clashing):
     got = sorted(((r.doc_id, r.fp % 2**64, r.component_id) for r in simhash.near_duplicates(clashing(docs_of(odd_rows))).collect()), key=repr)
     assert got == plain_components(marked)
     assert simhash.near_duplicates(docs_of([])).count() == 0
-    kept = simhash.keep_one_of_each(docs_of(odd_rows))
-    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted({c for _, _, c in plain_components(marked)})
+
+
+def test_query_gives_hex_fingerprints_and_least_ids(spark, sf_dir):
+    rows = [(r.doc_id, plain_fingerprint(r.text)) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    got = sorted((tuple(r) for r in simhash.op7_covering_simhash(spark, sf_dir).collect()), key=repr)
+    assert got == sorted(((i, f"{f:016x}", c) for i, f, c in plain_components(rows)), key=repr)
+
+
+def test_a_cloud_that_finer_keys_do_not_part_goes_by_blocks(spark):
+    """Fingerprints that agree in all bits but 14."""
+    rng = random.Random(7)
+    fps = {0xABCD << 48 | sum(rng.getrandbits(1) << b for b in range(0, 42, 3)) for _ in range(700)}
+    edges = simhash.links(spark.createDataFrame([(simhash._signed(f),) for f in fps], "fp long"), 4, 60)
+    roots = {r.node: r.root for r in components.connected_components(edges).collect()}
+    groups = {}
+    for i, f, c in plain_components([(k, f) for k, f in enumerate(sorted(fps))]):
+        groups.setdefault(c, set()).add(roots.get(simhash._signed(f), simhash._signed(f)))
+    assert all(len(g) == 1 for g in groups.values()) and len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
 def test_every_pair_within_the_radius_meets_in_a_table():
