@@ -12,7 +12,7 @@ batch at once.
 The fit uses at most ``fit_rows`` labelled training rows (drawn by a hash of
 doc_id); scoring reads every whole text in one narrow pass.
 
-Defined cases: a null text is empty; an empty text has zero for each number and
+Defined cases: texts of any length are read whole; a null text is empty; an empty text has zero for each number and
 is scored like any other; rows with a null label are not labelled; repeated rows
 are scored once for each row; a null doc_id is held out or not as the empty id
 is; without labelled training rows every score is 0.5. Only doc_id and text of
@@ -206,8 +206,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 20000) -> Additive
             x = _texts(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("quality"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "quality", "x"])
 
-    # fit_rows ids at most, so the size of this broadcast is a parameter.
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id").mapInArrow(read, "doc_id long, quality int, x array<double>").collect()
+    # fit_rows ids at most, so the size of this broadcast is a parameter; an id may have any number of rows, so they are bounded again.
+    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id").mapInArrow(read, "doc_id long, quality int, x array<double>")
+    rows = found.orderBy(F.xxhash64("doc_id", "quality", "x"), "doc_id", "quality", "x").limit(fit_rows).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["x"]))
     return fit_additive(np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES)), np.array([float(r["quality"] == 1) for r in rows]))
 

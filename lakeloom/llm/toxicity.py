@@ -1,12 +1,11 @@
 """Non-negative positive-unlabelled learning of toxic text.
 
 Two bounded samples are drawn from the training rows: confirmed toxic documents
-(P) and documents whose label is not looked at (U), each text once. A document is the set of its
-words and of their first four, five and six letters. A feature that only toxic
-text has is 1/prior times as frequent in P as in U; those between 0.4 and 3 times
-that ratio (what lies above is a chance of a few copied documents) that are also
-``surprise`` deviations more frequent than in U become the vocabulary, and a
-linear classifier is fit in numpy on the risk
+(P) and documents whose label is not looked at (U), each text once. A document is the
+set of its words and of their first four, five and six letters. Features that ``least``
+documents of P have, and that are ``surprise`` deviations more frequent there than
+in U, become the vocabulary, however many there are, and a linear classifier is fit in
+numpy on the risk
 
     prior * E_P[l(z)] + max(0, E_U[l(-z)] - prior * E_P[l(-z)])
 
@@ -15,13 +14,13 @@ followed upwards, as the non-negative estimator asks. The prior is the share of
 toxic rows among all labelled training rows. Several classifiers, each on its own
 draw of U, are averaged.
 
-Bounds: ``positives`` and ``unlabelled`` rows for the fit, ``vocabulary``
-features; scoring reads every whole text in one narrow pass.
+Bounds: ``positives`` and ``unlabelled`` rows for the fit, whatever the table's
+size; all else covers all data, and scoring reads every whole text in one narrow pass.
 
-Defined cases: a null text is empty; a text without known features, the empty
-one included, gets the intercept's score; rows with a null label are not
-labelled; repeated rows are scored once for each row; a null doc_id is drawn and
-held out as the empty id; without toxic training rows every score is the prior
+Defined cases: texts of any length are read whole; a null text is empty; a text without
+known features, the empty one included, gets the intercept's score; rows with a null
+label are not labelled; repeated rows are scored once for each row; a null doc_id is
+drawn and held out as the empty id; without toxic training rows every score is the prior
 (0 if nothing is labelled). Only doc_id and text of documents and doc_id and
 toxic of labels are read, whatever other columns there are.
 """
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_bucket, table
+from .common import checkpointed, id_bucket, table
 
 WORD = re.compile(r"\w+")
 PREFIXES = (4, 5, 6)
@@ -100,18 +99,25 @@ def fit_nnpu(positive: list, unlabelled: list, size: int, prior: float, rounds:
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: int = 16000, vocabulary: int = 20000, members: int = 3, least: int = 4, surprise: float = 4.5) -> tuple[list[str], np.ndarray]:
+def train(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: int = 16000, members: int = 3, least: int = 4, surprise: float = 4.5) -> tuple[list[str], np.ndarray]:
     """Vocabulary and weights (intercept last) from the training rows of ``docs`` and ``labels``."""
     known = labels.where(F.col("toxic").isNotNull()).select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT)
     share = known.agg(F.avg((F.col("toxic") == 1).cast("double")).alias("p")).first()["p"] or 0.0
     prior = min(max(share, 1e-4), 0.9)
-    order = F.xxhash64("doc_id", F.lit(7))
-    chosen_p = known.where("toxic = 1").select("doc_id").distinct().orderBy(order, "doc_id").limit(positives).withColumn("positive", F.lit(1))
-    pool = docs.select("doc_id").where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT)
-    chosen_u = pool.distinct().orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(unlabelled).withColumn("positive", F.lit(0))
-    # At most positives + unlabelled ids: the size of this broadcast is a parameter.
-    drawn = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen_p.unionByName(chosen_u)), "doc_id").dropDuplicates(["positive", "text"])
+    def draw(ids: DataFrame, seed: int, most: int, positive: int) -> DataFrame:
+        """``most`` distinct ids at most, and of the rows that have them as many again at most, by their text's digest."""
+        chosen = ids.distinct().orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(most)
+        # The size of these broadcasts is a parameter.
+        digests = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", F.xxhash64("text").alias("digest")).dropDuplicates(["digest"])
+        return digests.orderBy(F.xxhash64("doc_id", "digest", F.lit(seed)), "doc_id", "digest").limit(most).withColumn("positive", F.lit(positive))
+
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    chosen_p = draw(known.where("toxic = 1").select("doc_id"), 7, positives, 1)
+    chosen_u = draw(docs.select("doc_id").where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT), 11, unlabelled, 0)
+    wanted = F.broadcast(chosen_p.unionByName(chosen_u))
+    # Written once: what follows reads it several times.
+    drawn = checkpointed(texts.withColumn("digest", F.xxhash64("text")).join(wanted, ["doc_id", "digest"]).dropDuplicates(["positive", "text"]).select("doc_id", "positive", "text"))
 
     def spell(batches):
         for batch in batches:
@@ -125,10 +131,9 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled:
     n_p, n_u = totals["p"] or 0, totals["u"] or 0
     if not n_p or not n_u:
         return [], np.array([np.log(prior / (1 - prior)) if share else -20.0])
-    lift = (F.col("p") / F.lit(n_p)) / ((F.col("u") + 0.5) / F.lit(n_u))
     due = (F.col("u") + 0.5) * F.lit(n_p / n_u)  # what P would have of it, were P like U
-    picked = counts.where((F.col("p") >= least) & lift.between(0.4 / prior, 3 / prior) & ((F.col("p") - due) / F.sqrt(due + 1) >= surprise)).orderBy((lift * F.sqrt("p")).desc(), "f").limit(vocabulary).select("f")
-    words = [r["f"] for r in picked.collect()]  # bounded by ``vocabulary``
+    picked = counts.where((F.col("p") >= least) & ((F.col("p") - due) / F.sqrt(due + 1) >= surprise)).select("f")
+    words = sorted(r["f"] for r in picked.collect())  # features of the bounded sample only
 
     def number(batches):
         index = FeatureIndex(words)
