@@ -31,6 +31,10 @@ def absolute_url(base: pd.Series, link: pd.Series) -> pd.Series:
     return pd.Series([None if b is None or k is None else urljoin(b, k) for b, k in zip(base, link, strict=True)])
 
 
+#: What may follow a quote that ends a string.
+_AFTER = re.compile(r"\s*(?:[,}\]:]|$)")
+
+
 def repair_quotes(body: str) -> str:
     """``body`` with quotes inside string values escaped: a quote ends a string only before , } ] or :."""
     out, inside, at = [], False, 0
@@ -43,7 +47,7 @@ def repair_quotes(body: str) -> str:
         if c == '"':
             if not inside:
                 inside = True
-            elif re.match(r"\s*(?:[,}\]:]|$)", body[at + 1 :]):
+            elif _AFTER.match(body, at + 1):
                 inside = False
             else:
                 out.append("\\")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import _in_range, bounds, numbered, running
+from .ordered import _in_range, bounds, numbered, ranges_of, running
 
 
 def shard_of(df: DataFrame, order: list[str], cap: int, sealed: int = 0, descending: bool = False) -> DataFrame:
@@ -23,13 +23,18 @@ def next_shard(rows_in_open: int, newest: int, cap: int, full_at_cap: bool = Tru
     return newest + 1 if (rows_in_open >= cap if full_at_cap else rows_in_open > cap) else newest
 
 
+def next_shard_of(rows_in_open: Column, newest: Column, cap: int, full_at_cap: bool = True) -> Column:
+    """``next_shard`` for many tables at once."""
+    return newest + F.when(rows_in_open >= cap if full_at_cap else rows_in_open > cap, 1).otherwise(0)
+
+
 def sealed_volumes(df: DataFrame, order: list[str], size: str, cap: int) -> DataFrame:
     """``df`` with ``written`` (bytes up to and with the row) and ``deferred``: rows that start when the cap was reached already."""
     made = running(df, order, {"written": F.coalesce(F.col(size), F.lit(0)).cast("long")})
     return made.withColumn("deferred", F.col("written") - F.coalesce(F.col(size), F.lit(0)) >= cap)
 
 
-def pack_volumes(df: DataFrame, key: str, size: str, budget: int, max_files: int, ranges: int = 32) -> DataFrame:
+def pack_volumes(df: DataFrame, key: str, size: str, budget: int, max_files: int, ranges: int = 32, rows_per_range: int = 1_000_000) -> DataFrame:
     """``df`` with ``volume``, from 0: sequential greedy packing in the order of the unique numeric ``key``.
 
     A new volume starts when the present one isn't empty and has ``max_files`` files
@@ -43,7 +48,7 @@ def pack_volumes(df: DataFrame, key: str, size: str, budget: int, max_files: int
     more than a range, the driver no more than one range's summary.
     """
     names, key_type = df.columns, df.schema[key].dataType
-    cuts = bounds(df, F.col(key), ranges)
+    cuts = bounds(df, F.col(key), ranges_of(df, ranges, rows_per_range))
     items = df.select(F.col(key).alias("_k"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("_s"), _in_range(F.col(key), cuts).alias("_r"))
 
     def read(batches) -> tuple[int, np.ndarray, np.ndarray]:

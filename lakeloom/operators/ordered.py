@@ -1,12 +1,13 @@
 """Numbering and running sums over a whole table, without one task that holds it.
 
-A global order is dealt into ranges of its leading key; ranges are counted, the
+A global order is dealt into ranges of all its columns; ranges are counted, the
 few counts are added up, and rows are numbered inside their range. What meets in
 one place is a row for each range.
 """
 
 from __future__ import annotations
 
+import datetime
 import functools
 
 from pyspark.sql import Column, DataFrame
@@ -33,21 +34,57 @@ def _in_range(key: Column, cuts: list) -> Column:
     return F.when(key.isNull(), F.lit(len(cuts) + 1)).otherwise(pick(0, len(cuts)))
 
 
-def running(df: DataFrame, order: list[str], sums: dict[str, Column], descending: bool = False, ranges: int = 64) -> DataFrame:
+def _literal(value, kind: str) -> Column:
+    """A collected value as a column of its type; times go by their text, which no time zone changes."""
+    return F.lit(str(value) if isinstance(value, datetime.date) else value).cast(kind)
+
+
+def ranges_of(df: DataFrame, least: int, rows: int) -> int:
+    """How many ranges ``df`` is dealt into: ``least`` of them, or as many as ranges of ``rows`` rows need."""
+    return max(least, -(-df.count() // rows))
+
+
+def _range_of(df: DataFrame, order: list[Column], ranges: int, sampled: int = 32) -> Column:
+    """The number of a row's range in the whole order of all its columns, nulls last in each.
+
+    The cuts come from a sample of ``sampled`` rows for each range, the same each
+    time: the rows with the least hashes.
+    """
+    key = lambda values: F.struct(*(x for v in values for x in (v.isNull(), v)))
+    named = df.select(*(c.alias(f"c{i}") for i, c in enumerate(order)))
+    names = named.columns
+    drawn = named.orderBy(F.xxhash64(*names), *names).limit(ranges * sampled).orderBy(*(F.col(c).asc_nulls_last() for c in names)).collect()
+    kinds = [kind for _, kind in named.dtypes]
+    at = sorted({len(drawn) * i // ranges for i in range(1, ranges)} - {0})
+    cuts = [key([_literal(v, k) for v, k in zip(drawn[i], kinds, strict=True)]) for i in at]
+    mine = key(order)
+
+    def pick(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(mine <= cuts[mid], pick(lo, mid)).otherwise(pick(mid + 1, hi))
+
+    return pick(0, len(cuts))
+
+
+def running(df: DataFrame, order: list[str], sums: dict[str, Column], descending: bool = False, ranges: int = 64, rows_per_range: int = 1_000_000) -> DataFrame:
     """``df`` with, for each of ``sums``, the running total up to and with the row.
 
-    ``order`` must be a total order, its first column numeric; ``descending`` turns
-    that first column round. Nulls of it come last. An empty table stays empty.
+    ``order`` must be a total order; ``descending`` turns its first column, then a
+    number, round. Nulls come last in each column. An empty table stays empty. Ranges
+    are cut in the whole order, so rows that agree in its first columns are parted
+    by the others.
     """
     lead = -F.col(order[0]) if descending else F.col(order[0])
-    cuts = bounds(df, lead, ranges)
-    placed = df.withColumns({"_range": _in_range(lead, cuts), **{f"_v{i}": c for i, c in enumerate(sums.values())}})
+    whole = [lead, *map(F.col, order[1:])]
+    placed = df.withColumns({"_range": _range_of(df, whole, ranges_of(df, ranges, rows_per_range)), **{f"_v{i}": c for i, c in enumerate(sums.values())}})
     kept = [f"_v{i}" for i in range(len(sums))]
-    # A row for each range: their window is bounded by ``ranges``, and so is the broadcast.
+    # A row for each range: their window is bounded by the number of ranges, and so is the broadcast.
     totals = placed.groupBy("_range").agg(*(F.sum(v).alias(v) for v in kept))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select("_range", *(F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_b{i}") for i, v in enumerate(kept)))
-    inside = Window.partitionBy("_range").orderBy(lead.asc_nulls_last(), *(F.col(c).asc_nulls_last() for c in order[1:])).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("_range").orderBy(*(c.asc_nulls_last() for c in whole)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     made = placed.join(F.broadcast(before), "_range")
     return made.select(*df.columns, *((F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.col(f"_b{i}")).alias(name) for i, (v, name) in enumerate(zip(kept, sums, strict=True))))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import coerce, outcomes, parsing, text, times
+from ..operators import upsert
 from .registry import Tables, query
 
 
@@ -118,7 +119,10 @@ def fn_bucket_mod(t: Tables) -> DataFrame:
     return t("documents").select("doc_id", text.bucket_mod(F.col("doc_id")).alias("bucket"))
 
 
-@query("fn_volume_path", "SELECT doc_id, 'images/' || (doc_id // 1000) || '/' || lpad(CAST(doc_id % 1000 AS VARCHAR), 3, '0') || '.tar' AS path FROM documents")
+VOLUME_PATH = "'images/' || (volume // 1000) || '/' || lpad(CAST(volume % 1000 AS VARCHAR), 3, '0') || '.tar'"
+
+
+@query("fn_volume_path", f"SELECT doc_id, {VOLUME_PATH.replace('volume', 'doc_id')} AS path FROM documents")
 def fn_volume_path(t: Tables) -> DataFrame:
     return t("documents").select("doc_id", text.volume_path(F.col("doc_id")).alias("path"))
 
@@ -171,14 +175,16 @@ def fn_md5_verify(t: Tables) -> DataFrame:
     return t("pages").select("page_id", outcomes.verified(content, digest, size).alias("good"))
 
 
-@query("fn_normalise_value", "SELECT p_partkey, true AS same FROM part")
+@query("fn_normalise_value", "SELECT p_partkey, p_partkey % 3 <> 0 AND p_partkey % 5 <> 0 AS same FROM part")
 def fn_normalise_value(t: Tables) -> DataFrame:
-    """Lists in another order and maps in another order compare as equal once normalised."""
-    words = F.split("p_name", " ")
-    lists = F.array_sort(words).eqNullSafe(F.array_sort(F.reverse(words)))
-    one, other = F.create_map(F.lit("a"), F.col("p_size"), F.lit("b"), F.lit(1)), F.create_map(F.lit("b"), F.lit(1), F.lit("a"), F.col("p_size"))
-    maps = F.array_sort(F.map_entries(one)).eqNullSafe(F.array_sort(F.map_entries(other)))
-    return t("part").select("p_partkey", (lists & maps).alias("same"))
+    """Signatures: unordered lists and maps in another order are the same value; one more word, or null against empty, is not."""
+    spec = upsert.UpsertSpec("p_partkey", ("words", "m", "note"), unordered=("words",))
+    words, entry = F.split("p_name", " "), lambda k, v: (F.lit(k), v)
+    more = F.when(F.col("p_partkey") % 3 == 0, F.array(F.lit("more"))).otherwise(F.array().cast("array<string>"))
+    one = t("part").select("p_partkey", words.alias("words"), F.create_map(*entry("a", F.col("p_size")), *entry("b", F.lit(1))).alias("m"), F.when(F.col("p_partkey") % 5 != 0, "").alias("note"))
+    other = t("part").select("p_partkey", F.concat(F.reverse(words), more).alias("words"), F.create_map(*entry("b", F.lit(1)), *entry("a", F.col("p_size"))).alias("m"), F.lit("").alias("note"))
+    both = upsert.signature(one, spec).join(upsert.signature(other, spec).withColumnRenamed("signature", "again"), "p_partkey")
+    return both.select("p_partkey", (F.col("signature") == F.col("again")).alias("same"))
 
 
 @query("fn_tag_lang_pivot", "SELECT source, coalesce(min(lang) FILTER (WHERE lang = 'en'), '') AS lang_en, coalesce(min(lang) FILTER (WHERE lang = 'fr'), '') AS lang_fr FROM documents GROUP BY source")
@@ -192,8 +198,16 @@ def fn_category_name(t: Tables) -> DataFrame:
     return t("nation").select("n_nationkey", text.category_name(F.col("n_regionkey"), {0: "general", 1: "artist", 3: "copyright", 4: "character"}).alias("category"))
 
 
-@query("fn_html_to_md")
+@query("fn_html_to_md", """SELECT n_nationkey, '**' || n_name || '** & *it*' || chr(10) || chr(10) || '[go](http://x.org/n/' || n_nationkey || ') ![' || CASE WHEN n_regionkey = 0 THEN '' ELSE 'pic' END || '](http://x.org/i.png)' || chr(10) || chr(10) || '* a' || chr(10) || '* b' AS markdown FROM nation""")
 def fn_html_to_md(t: Tables) -> DataFrame:
+    alt = F.when(F.col("n_regionkey") == 0, "").otherwise(' alt="pic"')
+    body = F.concat(F.lit("<div><p><b>"), "n_name", F.lit("</b> &amp; <i>it</i></p><br><br><br><a href='/n/"), "n_nationkey", F.lit("'>go</a> <img src='i.png'"), alt, F.lit("><br></div><ul><li>a</li><li>b</li></ul>"))
+    return t("nation").select("n_nationkey", parsing.html_to_markdown(body, F.lit("http://x.org/p")).alias("markdown"))
+
+
+@query("fn_html_pages_to_md")
+def fn_html_pages_to_md(t: Tables) -> DataFrame:
+    """The raw web pages as Markdown."""
     return t("pages").select("page_id", F.sha2(parsing.html_to_markdown(F.col("html"), F.col("url")).cast("binary"), 256).alias("markdown_sha256"))
 
 

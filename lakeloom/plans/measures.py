@@ -168,7 +168,21 @@ def str_stop_rule(t: Tables) -> DataFrame:
     return measures.empty_streaks(_pages(t), "page", "n_new", 1).where("streak >= 3").agg(F.min("page").alias("stop_at"))
 
 
-@query("win_aimd")
+AIMD_SQL = """
+WITH RECURSIVE e AS (SELECT user_id, event_type <> 'error' AS ok, epoch_us(ts) / 1e6 AS at, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
+r AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS i, 4.0::DOUBLE AS rate, CAST(0 AS BIGINT) AS run, CAST('-infinity' AS DOUBLE) AS cooled FROM e WHERE i = 1
+  UNION ALL
+  SELECT r.user_id, e.i,
+    CASE WHEN e.ok AND r.run + 1 >= 3 THEN least(64.0, r.rate + 0.5) WHEN NOT e.ok AND e.at - r.cooled >= 2.0 THEN greatest(0.5, r.rate * 0.7::DOUBLE) ELSE r.rate END,
+    CASE WHEN e.ok THEN (r.run + 1) % 3 WHEN e.at - r.cooled >= 2.0 THEN 0 ELSE r.run END,
+    CASE WHEN NOT e.ok AND e.at - r.cooled >= 2.0 THEN e.at ELSE r.cooled END
+  FROM r JOIN (SELECT * FROM e) e ON e.user_id = r.user_id AND e.i = r.i + 1
+)
+SELECT user_id, round(arg_max(rate, i), 9) AS rate FROM r GROUP BY user_id"""
+
+
+@query("win_aimd", AIMD_SQL)
 def win_aimd(t: Tables) -> DataFrame:
     e = t("events").select("user_id", "event_id", (F.col("event_type") != "error").alias("ok"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("at"))
     return measures.adapted_rate(e, "user_id", "event_id", "ok", every=3)
@@ -215,10 +229,11 @@ def sort_other_key(t: Tables) -> DataFrame:
     return ordered.numbered(t("orders").select("o_totalprice", "o_orderkey"), ["o_totalprice", "o_orderkey"], "place", descending=True).drop("o_totalprice")
 
 
-@query("sort_natural", "SELECT doc_id, 't-' || doc_id % 100 || '.parquet' AS name, 't-' || lpad(CAST(doc_id % 100 AS VARCHAR), 20, '0') || '.parquet' AS sort_key FROM documents")
+@query("sort_natural", "SELECT doc_id, name, row_number() OVER (ORDER BY number, doc_id) AS place FROM (SELECT doc_id, doc_id % 100 AS number, 't-' || doc_id % 100 || '.parquet' AS name FROM documents)")
 def sort_natural(t: Tables) -> DataFrame:
     named = t("documents").select("doc_id", F.concat(F.lit("t-"), F.col("doc_id") % 100, F.lit(".parquet")).alias("name"))
-    return named.withColumn("sort_key", text.natural_key(F.col("name")))
+    keyed = named.withColumn("sort_key", text.natural_key(F.col("name")))
+    return ordered.numbered(keyed, ["sort_key", "doc_id"], "place").drop("sort_key")
 
 
 @query("limit_preview", "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey DESC LIMIT 30")
@@ -232,8 +247,14 @@ def sort_prefix_ids(t: Tables) -> DataFrame:
     return ordered.numbered(ids, ["doc_id"], "place", descending=True)
 
 
-@query("sink_report", f"WITH {WORDS}, c AS (SELECT p_type, tag, count(*) AS n FROM w GROUP BY ALL) SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY p_type ORDER BY n DESC, tag) AS INTEGER) AS rank FROM c) WHERE rank <= 30")
+@query(
+    "sink_report",
+    f"""WITH {WORDS}, c AS (SELECT p_type, tag, count(*) AS n FROM w GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY n DESC, tag) AS rank FROM c)
+SELECT p_type, CAST(rank + 2 AS INTEGER) AS line, '| ' || tag || ' | ' || n || ' |' AS markdown FROM r WHERE rank <= 30
+UNION ALL SELECT DISTINCT p_type, CAST(i AS INTEGER), CASE i WHEN 0 THEN '### ' || p_type WHEN 1 THEN '| tag | n |' ELSE '|---|---|' END FROM c, range(3) t(i)""",
+)
 def sink_report(t: Tables) -> DataFrame:
-    """The report's table of tags; ``report.markdown_report`` renders it."""
+    """The report's tables of tags, rendered: a line of Markdown each."""
     words = t("part").select("p_type", F.explode(F.split("p_name", " ")).alias("tag"))
-    return tags.top_n_per_type(tags.usage(words, ("p_type", "tag")), "p_type")
+    return report.tag_lines(tags.usage(words, ("p_type", "tag")), "p_type")

@@ -33,6 +33,13 @@ def markdown_table(df: DataFrame, rows: int = PREVIEW) -> str:
     return "\n".join(lines)
 
 
+def tag_lines(counts: DataFrame, kind: str) -> DataFrame:
+    """``kind``, ``line``, ``markdown``: for each type a heading and a table of its top tags, for reports of any number of types."""
+    top = tags.top_n_per_type(counts, kind).select(kind, (F.col("rank") + 2).cast("int").alias("line"), F.concat(F.lit("| "), F.regexp_replace("tag", r"\|", r"\\|"), F.lit(" | "), "n", F.lit(" |")).alias("markdown"))
+    heads = F.array(F.concat(F.lit("### "), F.col(kind)), F.lit("| tag | n |"), F.lit("|---|---|"))
+    return counts.select(kind).distinct().select(kind, F.posexplode(heads).alias("line", "markdown")).unionByName(top)
+
+
 def markdown_report(title: str, posts: DataFrame, key: str, counts: DataFrame, kind: str) -> str:
     """A report: the size of the table, its newest rows and the top tags of each type."""
     size = sizes({title: posts}).first()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import layout, measures
 from ..sources import readers, writers
 from ..streaming import jobs
+from .functions import VOLUME_PATH
 from .registry import QUERIES, Tables, query
 
 
@@ -62,15 +63,20 @@ def scan_csv_gz(t: Tables) -> DataFrame:
 
 @query("scan_latest_dated_file", "SELECT strftime(max(o_orderdate), '%Y-%m-%d') AS day, 'tags-' || strftime(max(o_orderdate), '%Y-%m-%d') || '.csv.gz' AS name FROM orders")
 def scan_latest_dated_file(t: Tables) -> DataFrame:
-    names = t("orders").select(F.concat(F.lit("tags-"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(".csv.gz")).alias("file"))
-    return readers.latest_dated(names, "file")
+    """A folder with the last export of each month, named by its day; the listing says which is the newest."""
+    spark, place = _place(t)
+    days = t("orders").groupBy(F.trunc("o_orderdate", "month").alias("month")).agg(F.max("o_orderdate").alias("day"), F.count("*").alias("n"))
+    days.select("n", F.concat(F.lit("tags-"), F.date_format("day", "yyyy-MM-dd"), F.lit(".csv.gz")).alias("file")).write.partitionBy("file").option("compression", "gzip").csv(place)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv.gz").load(place)
+    return readers.latest_dated(listed.select(F.regexp_extract("path", "/file=([^/]+)/", 1).alias("file")), "file")
 
 
 @query("scan_json_state", "SELECT DISTINCT doc_id AS id FROM labels")
 def scan_json_state(t: Tables) -> DataFrame:
     spark, place = _place(t)
-    t("labels").groupBy().agg(F.sort_array(F.collect_set("doc_id")).alias("exist_ids")).write.json(place)  # a state document, as small as such documents are
-    return readers.json_state(spark, place, "exist_ids")
+    parts = t("labels").groupBy(F.floor(F.col("doc_id") / 1000).alias("part"))  # state documents of a thousand ids at most
+    parts.agg(F.sort_array(F.collect_set("doc_id")).alias("exist_ids")).drop("part").repartition(4).write.option("lineSep", "\n").json(place)
+    return readers.json_state(spark, place, "exist_ids", lines=True)
 
 
 @query("sink_json_state", "SELECT DISTINCT user_id FROM events")
@@ -116,18 +122,34 @@ def scan_html_table(t: Tables) -> DataFrame:
     return rows.select("n_nationkey", "pos", F.col("cells")["Alias"].alias("alias"), F.col("cells")["To"].alias("target"))
 
 
-@query("scan_html_entity")
+@query("scan_html_entity", "SELECT p_partkey, p_name AS title, CASE WHEN p_size % 2 = 0 THEN 'c' || p_size ELSE 'unknown' END AS category, CAST(p_partkey % 3 AS INTEGER) AS n_images, 'a & b|' || p_type AS items FROM part")
 def scan_html_entity(t: Tables) -> DataFrame:
-    found = readers.html_entities(t("pages"), "html", ["page_id"])
-    return found.select("page_id", "title", "category", F.size("images").alias("n_images"), F.array_join("items", "|").alias("items"))
+    """Pages of the kind that describes one thing: a heading, a class of the second one, images, list items."""
+    kind = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("c"), "p_size")).otherwise("x y")
+    images = F.array_join(F.transform(F.slice(F.array(F.lit(1), F.lit(2)), F.lit(1), (F.col("p_partkey") % 3).cast("int")), lambda i: F.concat(F.lit('<img src="/'), i, F.lit('.png">'))), "")
+    body = F.concat(F.lit("<html><h1> "), "p_name", F.lit('</h1><h2 class="'), kind, F.lit('">k</h2>'), images, F.lit("<ul><li>a &amp; b</li><li> <b>"), "p_type", F.lit("</b></li></ul><p>other"))
+    found = readers.html_entities(t("part").select("p_partkey", body.alias("body")), "body", ["p_partkey"])
+    return found.select("p_partkey", "title", "category", F.size("images").alias("n_images"), F.array_join("items", "|").alias("items"))
 
 
-@query("scan_html_links")
+@query("scan_html_links", "SELECT n_nationkey, CAST(i AS INTEGER) AS pos, CASE i WHEN 0 THEN 'http://x.org/a/n/' || n_nationkey WHEN 1 THEN 'http://x.org/top?q=1&r=2' ELSE 'https://y.org/' || n_regionkey END AS href, CASE i WHEN 0 THEN n_name WHEN 1 THEN 'a & b' ELSE '' END AS label FROM nation, range(3) t(i)")
 def scan_html_links(t: Tables) -> DataFrame:
+    """Relative, rooted and whole links, with marks inside labels, an anchor without a target between them."""
+    from ..functions.parsing import absolute_url, html_links
+
+    body = F.concat(F.lit('<p><a href="n/'), "n_nationkey", F.lit('"> <b>'), "n_name", F.lit('</b></a><a name="here">no link</a><a href="/top?q=1&amp;r=2">a &amp; b</a> <a href="https://y.org/'), "n_regionkey", F.lit('"></a>'))
+    links = t("nation").select("n_nationkey", F.posexplode(html_links(body)).alias("pos", "link"))
+    return links.select("n_nationkey", "pos", absolute_url(F.lit("http://x.org/a/b"), F.col("link.href")).alias("href"), F.col("link.label").alias("label"))
+
+
+@query("scan_html_pages")
+def scan_html_pages(t: Tables) -> DataFrame:
+    """Links and headings of the raw web pages."""
     from ..functions.parsing import absolute_url, html_links
 
-    links = t("pages").select("page_id", "url", F.posexplode(html_links(F.col("html"))).alias("pos", "link"))
-    return links.select("page_id", "pos", absolute_url(F.col("url"), F.col("link.href")).alias("href"), F.col("link.label").alias("label"))
+    links = t("pages").select("page_id", "url", F.posexplode_outer(html_links(F.col("html"))).alias("pos", "link"))
+    heads = readers.html_entities(t("pages"), "html", ["page_id"]).select("page_id", "title", F.size("items").alias("n_items"))
+    return links.select("page_id", "pos", absolute_url(F.col("url"), F.col("link.href")).alias("href"), F.col("link.label").alias("label")).join(heads, "page_id")
 
 
 @query("scan_html_ids", r"SELECT page_id, CAST(unnest(regexp_extract_all(html, 'track\((\d+)\)', 1)) AS BIGINT) AS id FROM pages")
@@ -164,14 +186,9 @@ def _as_tar(rows):
     return pd.DataFrame({"archive": [rows["archive"].iloc[0]], "content": [out.getvalue()]})
 
 
-@query("scan_generator", "SELECT r AS doc_id FROM range(0, 301) t(r) WHERE r NOT IN (SELECT doc_id FROM labels)")
+@query("scan_generator", "SELECT r AS doc_id FROM (SELECT unnest(range(min(doc_id), max(doc_id) + 1)) AS r FROM labels) WHERE r NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
 def scan_generator(t: Tables) -> DataFrame:
-    return readers.probes(t("labels").sparkSession, t("labels"), "doc_id", 0, 300)
-
-
-@query("scan_generator_whole", "SELECT r AS doc_id FROM (SELECT unnest(range(min(doc_id), max(doc_id) + 1)) AS r FROM labels) WHERE r NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
-def scan_generator_whole(t: Tables) -> DataFrame:
-    """``scan_generator`` from the least to the newest known id."""
+    """Ids from the least to the newest known one that aren't known."""
     span = measures.id_span(t("labels"), "doc_id").first()
     return readers.probes(t("labels").sparkSession, t("labels"), "doc_id", span["min_id"], span["max_id"])
 
@@ -197,28 +214,31 @@ def sink_shard_rotate(t: Tables) -> DataFrame:
 
 @query("sink_shard_startup_rotate", "SELECT n_nationkey, CAST(CASE WHEN n_nationkey >= 20 THEN 8 ELSE 7 END AS INTEGER) AS at_cap, CAST(CASE WHEN n_nationkey > 20 THEN 8 ELSE 7 END AS INTEGER) AS beyond_cap FROM nation")
 def sink_shard_startup_rotate(t: Tables) -> DataFrame:
-    """The rule at each number of rows, as a column expression of the same comparison."""
-    rows = F.col("n_nationkey")
-    choose = lambda at_cap: F.lit(layout.next_shard(0, 7, 20, at_cap)) + F.when(rows >= 20 if at_cap else rows > 20, 1).otherwise(0)
+    """The shard that a run writes, for every number of rows in the open one."""
+    choose = lambda at_cap: layout.next_shard_of(F.col("n_nationkey"), F.lit(7), 20, at_cap).cast("int")
     return t("nation").select("n_nationkey", choose(True).alias("at_cap"), choose(False).alias("beyond_cap"))
 
 
-@query("sink_dated_snapshot", "SELECT CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS ym, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS ymd, count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '1995-03-01' GROUP BY ALL")
+@query("sink_dated_snapshot", "SELECT CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS ym, CAST(strftime(date_trunc('month', o_orderdate), '%Y%m%d') AS INTEGER) AS ymd, count(*) AS n FROM orders GROUP BY ALL")
 def sink_dated_snapshot(t: Tables) -> DataFrame:
+    """Snapshots of all orders, one for each month."""
     _, place = _place(t)
-    some = t("orders").where(F.col("o_orderdate") < F.lit("1995-03-01").cast("timestamp_ntz")).select("o_orderkey", "o_orderdate")
-    return writers.write_snapshot(some, place, F.col("o_orderdate")).groupBy(F.col("ym").cast("int").alias("ym"), F.col("ymd").cast("int").alias("ymd")).agg(F.count("*").alias("n"))
+    rows = t("orders").select("o_orderkey", "o_orderdate")
+    return writers.write_snapshot(rows, place, F.trunc("o_orderdate", "month").cast("timestamp_ntz")).groupBy(F.col("ym").cast("int").alias("ym"), F.col("ymd").cast("int").alias("ymd")).agg(F.count("*").alias("n"))
 
 
-@query("sink_dated_snapshot_whole", "SELECT CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS ym, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS ymd, count(*) AS n FROM orders GROUP BY ALL")
-def sink_dated_snapshot_whole(t: Tables) -> DataFrame:
-    """``sink_dated_snapshot`` of all orders."""
-    _, place = _place(t)
-    rows = t("orders").select("o_orderkey", "o_orderdate")
-    return writers.write_snapshot(rows, place, F.col("o_orderdate")).groupBy(F.col("ym").cast("int").alias("ym"), F.col("ymd").cast("int").alias("ymd")).agg(F.count("*").alias("n"))
+VOLUMES_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, n_chars AS size, row_number() OVER (ORDER BY doc_id) AS i FROM documents),
+r AS (
+  SELECT i, CAST(size AS BIGINT) AS size, CAST(0 AS BIGINT) AS volume, CAST(1 AS BIGINT) AS files, CAST(size AS BIGINT) AS bytes FROM d WHERE i = 1
+  UNION ALL
+  SELECT d.i, d.size, CASE WHEN f THEN r.volume + 1 ELSE r.volume END, CASE WHEN f THEN 1 ELSE r.files + 1 END, CASE WHEN f THEN d.size ELSE r.bytes + d.size END
+  FROM r JOIN (SELECT * FROM d) d ON d.i = r.i + 1, LATERAL (SELECT r.files >= 100 OR r.bytes + d.size > 200000 AS f)
+)
+SELECT volume, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes, {path} AS path FROM r GROUP BY volume"""
 
 
-@query("sink_volumes")
+@query("sink_volumes", VOLUMES_SQL.format(path=VOLUME_PATH))
 def sink_volumes(t: Tables) -> DataFrame:
     _, place = _place(t)
     packed = layout.pack_volumes(t("documents").select("doc_id", "n_chars"), "doc_id", "n_chars", 200_000, 100)
@@ -239,19 +259,22 @@ def str_file_skip(t: Tables) -> DataFrame:
 
 @query("str_cursor_resume", "SELECT event_id FROM events")
 def str_cursor_resume(t: Tables) -> DataFrame:
-    """Batches below a cursor that each run stores as the least id it has seen, until nothing is left."""
+    """A run that stops after two batches, and one that goes on from the cursor which the first stored."""
     spark, place = _place(t)
     span = measures.id_span(t("events"), "event_id").first()
-    width, cursor = (span["max_id"] - span["min_id"]) // 3 + 1, span["max_id"] + 1
-    while cursor > span["min_id"]:
-        some = t("events").where((F.col("event_id") < cursor) & (F.col("event_id") >= cursor - width)).select("event_id")
-        some.write.mode("append").parquet(f"{place}/out")
-        cursor -= width
-    return spark.read.parquet(f"{place}/out")
+    width = (span["max_id"] - span["min_id"]) // 3 + 1
+    jobs.walk_down(t("events").select("event_id"), "event_id", width, place, most_batches=2)
+    jobs.walk_down(t("events").select("event_id"), "event_id", width, place)
+    return spark.read.parquet(f"{place}/out").drop("batch")
 
 
 @query("str_windowed_counts", "SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def str_windowed_counts(t: Tables) -> DataFrame:
-    """Event-time windows under a watermark; here all in one go, so nothing is late."""
-    e = t("events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return jobs.windowed_counts(e, "ts", "event_type", "1 day").withColumn("start", F.col("start").cast("timestamp_ntz"))
+    """Event-time windows over a stream of files; the whole result of each micro-batch replaces the one before."""
+    spark, place = _place(t)
+    e = t("events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    e.repartition(4).write.parquet(f"{place}/in")
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(f"{place}/in")
+    counts = jobs.windowed_counts(stream, "ts", "event_type", "1 day")
+    counts.writeStream.outputMode("complete").option("checkpointLocation", f"{place}/state").trigger(availableNow=True).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{place}/out")).start().awaitTermination()
+    return spark.read.parquet(f"{place}/out").withColumn("start", F.col("start").cast("timestamp_ntz"))

@@ -129,11 +129,12 @@ def flt_settled(t: Tables) -> DataFrame:
 
 @query("str_settle_delay", SETTLED)
 def str_settle_delay(t: Tables) -> DataFrame:
-    """The same rule on a stream: here over the table read once as a batch."""
+    """The same rule on a stream of files."""
+    from ..sources import writers
     from ..streaming import jobs
 
     e = t("events").select("event_id", F.when(F.col("event_id") % 50 != 0, F.col("ts")).alias("at"))
-    return jobs.settle(e, "at", "1 DAY", F.lit("2024-01-20").cast("timestamp_ntz")).select("event_id")
+    return jobs.through_files(e, writers.scratch(e.sparkSession), lambda stream: jobs.settle(stream, "at", "1 DAY", F.lit("2024-01-20").cast("timestamp_ntz")).select("event_id"))
 
 
 @query("flt_exclude_value", "SELECT event_id FROM events WHERE event_type IS DISTINCT FROM 'error'")

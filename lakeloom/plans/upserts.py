@@ -150,34 +150,40 @@ def sink_skip_when_clean(t: Tables) -> DataFrame:
     return actions.where("action in ('new', 'updated')").agg(F.count("*").alias("n_written")).withColumn("wrote", F.lit(wrote))
 
 
+def _streamed(orders: DataFrame, stored: DataFrame, batches: list[DataFrame]) -> jobs.VersionedTable:
+    """``stored`` after each of the batches arrived as files and was merged, micro-batch by micro-batch."""
+    spark, place = orders.sparkSession, writers.scratch(orders.sparkSession)
+    table = jobs.VersionedTable(spark, f"{place}/table", SPEC.key)
+    table.write(stored, 0)
+    for n, fetched in enumerate(batches):
+        fetched.write.mode("append").parquet(f"{place}/fetched")
+        stream = spark.readStream.schema(fetched.schema).option("maxFilesPerTrigger", 100 if n else 8).parquet(f"{place}/fetched")
+        jobs.upsert_stream(stream, table, SPEC, ["o_totalprice"], f"{place}/state").awaitTermination()
+    return table
+
+
 @query("str_micro_batch_upsert", APPLY_SQL)
 def str_micro_batch_upsert(t: Tables) -> DataFrame:
     """The batch as a stream of files, merged micro-batch by micro-batch into the stored table."""
-    orders = t("orders")
-    spark, place = orders.sparkSession, writers.scratch(orders.sparkSession)
-    fetched = batch(orders)
-    for part in range(3):
-        fetched.where(F.floor(F.col("o_orderkey") / 3) % 3 == part).write.mode("append").parquet(f"{place}/fetched")
-    table = jobs.VersionedTable(spark, f"{place}/table")
-    table.write(orders, 0)
-    stream = spark.readStream.schema(fetched.schema).option("maxFilesPerTrigger", 8).parquet(f"{place}/fetched")
-    jobs.upsert_stream(stream, table, SPEC, ["o_totalprice"], f"{place}/state").awaitTermination()
-    return table.read()
+    fetched = batch(t("orders"))
+    return _streamed(t("orders"), t("orders"), [fetched.where(F.floor(F.col("o_orderkey") / 3) % 3 == part) for part in range(3)]).read()
 
 
-@query("str_late_fill", f"WITH {B}, u AS ({APPLY_SQL.split(B)[1]}) SELECT o_orderkey, o_orderstatus FROM u WHERE o_orderkey % 4 = 0")
+@query("str_late_fill", APPLY_SQL)
 def str_late_fill(t: Tables) -> DataFrame:
-    """Stored rows without a status gain it from a later batch and never lose it again."""
-    return str_late_fill_whole(t).where("o_orderkey % 4 = 0").select("o_orderkey", "o_orderstatus")
-
-
-@query("str_late_fill_whole", APPLY_SQL)
-def str_late_fill_whole(t: Tables) -> DataFrame:
-    """``str_late_fill`` with the whole merged table."""
+    """Stored rows without a status gain it from a later batch of the stream and never lose it again."""
     orders = t("orders")
     bare = orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderstatus")))
-    filled = upsert.apply_updates(bare, orders, SPEC)
-    return upsert.apply_updates(filled, batch(orders), SPEC)
+    return _streamed(orders, bare, [orders, batch(orders)]).read()
+
+
+@query("sink_compaction", APPLY_SQL.replace("SELECT coalesce", "SELECT 1 AS n_versions, coalesce", 1))
+def sink_compaction(t: Tables) -> DataFrame:
+    """The stored table after two merges, compacted to one version; the others are removed."""
+    fetched = batch(t("orders"))
+    table = _streamed(t("orders"), t("orders"), [fetched.where("o_orderkey % 2 = 0"), fetched.where("o_orderkey % 2 = 1")])
+    table.compact(table.versions()[-1] + 1)
+    return table.read().withColumn("n_versions", F.lit(len(table.versions())))
 
 
 def _words(part: DataFrame) -> DataFrame:
@@ -253,7 +259,9 @@ def win_dedup_first_seen(t: Tables) -> DataFrame:
 
 @query("str_dedup_in_run", "SELECT DISTINCT user_id FROM events")
 def str_dedup_in_run(t: Tables) -> DataFrame:
-    return dedup.dropped_in_run(t("events").select("user_id"), "user_id")
+    """Each user once in a stream of files; the horizon spans the whole run."""
+    e = t("events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    return jobs.through_files(e, writers.scratch(e.sparkSession), lambda stream: jobs.once_in_run(stream, "user_id", "ts", "3650 days").select("user_id"))
 
 
 @query("str_failed_retry", "SELECT doc_id, CAST(CASE WHEN doc_id % 10 = 0 THEN 0 ELSE 1 END AS INTEGER) AS priority FROM labels UNION SELECT doc_id, 0 FROM documents WHERE doc_id % 10 = 0")

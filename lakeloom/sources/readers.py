@@ -59,9 +59,9 @@ def latest_dated(names: DataFrame, column: str, pattern: str = r"(\d{4}-\d{2}-\d
     return dated.agg(F.max(F.struct("day", "name")).alias("m")).select("m.day", "m.name")
 
 
-def json_state(spark: SparkSession, path: str, field: str) -> DataFrame:
-    """The distinct ids in a list of one state document."""
-    return spark.read.option("multiLine", True).json(path).select(F.explode(F.col(field)).alias("id")).distinct()
+def json_state(spark: SparkSession, path: str, field: str, lines: bool = False) -> DataFrame:
+    """The distinct ids in a list of one state document, or of documents of a line each."""
+    return spark.read.option("multiLine", not lines).json(path).select(F.explode(F.col(field)).alias("id")).distinct()
 
 
 def map_key_ids(bodies: DataFrame, body: str, path: str = "$.files") -> DataFrame:
@@ -82,9 +82,9 @@ def lenient_objects(bodies: DataFrame, body: str) -> DataFrame:
     """``bodies`` with ``object`` (strict JSON text) and ``error``. Only bodies that the JVM can't read go to Python for repair."""
     from ..operators.filters import valid_object
 
-    good = valid_object(F.col(body))
-    repaired = F.when(good, F.col(body)).otherwise(parsing.lenient_object(F.when(~good, F.col(body))))
-    return bodies.withColumn("object", repaired).withColumn("error", F.when(F.col("object").isNull(), "not an object"))
+    good = F.coalesce(valid_object(F.col(body)), F.lit(False))
+    read = bodies.where(good).withColumn("object", F.col(body)).unionByName(bodies.where(~good).withColumn("object", parsing.lenient_object(F.col(body))))
+    return read.withColumn("error", F.when(F.col("object").isNull(), "not an object"))
 
 
 def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:

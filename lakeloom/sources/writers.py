@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import layout
+from ..session import shared_folder
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path below the folder that all executors share; a temporary one only where none is set, as in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lakeloom-")
-    return f"{shared.rstrip('/')}/lakeloom-{uuid.uuid4().hex}"
+    """A new path below the folder that all executors share."""
+    return f"{shared_folder(spark)}/lakeloom-{uuid.uuid4().hex}"
 
 
 def write_sorted(df: DataFrame, path: str, key: str, rows_per_file: int = 1_000_000) -> None:

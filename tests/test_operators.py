@@ -99,6 +99,50 @@ def test_numbers_run_through_ranges(spark, ranges):
         ordered.chunked(df, ["k", "i"], 0)
 
 
+@pytest.mark.parametrize("lead", [1, None])
+def test_one_lead_value_is_parted_by_the_other_columns(spark, lead):
+    """All rows agree in the first column; no range holds more than a few of them."""
+    from pyspark.sql.window import Window
+
+    df = spark.range(3000).select(F.lit(lead).cast("int").alias("k"), F.to_timestamp_ntz(F.concat(F.lit("2024-01-01 00:00:"), F.lpad((F.col("id") % 60).cast("string"), 2, "0"))).alias("at"), F.concat(F.lit("t"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("tag"))
+    place = ordered._range_of(df, [F.col(c) for c in ("k", "at", "tag")], 16)
+    sizes = [r["count"] for r in df.groupBy(place.alias("r")).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3000 / 16 * 2
+    got = ordered.numbered(df, ["k", "at", "tag"], "n").withColumn("m", F.row_number().over(Window.orderBy("k", "at", "tag")))
+    assert got.where("n <> m").count() == 0 and got.count() == 3000
+
+
+def test_the_open_shard_of_many_tables(spark):
+    df = spark.createDataFrame([(19,), (20,), (21,)], "n int")
+    for at_cap in (True, False):
+        got = [r.s for r in df.select(layout.next_shard_of(F.col("n"), F.lit(7), 20, at_cap).alias("s")).collect()]
+        assert got == [layout.next_shard(n, 7, 20, at_cap) for n in (19, 20, 21)]
+
+
+def test_quotes_are_repaired_in_linear_time(spark):
+    import time
+
+    from lakeloom.functions import parsing
+
+    body = '{"k": "' + 'a "b" ' * 60_000 + '"}'
+    began = time.perf_counter()
+    assert parsing.repair_quotes(body) == '{"k": "' + 'a \\"b\\" ' * 60_000 + '"}'
+    assert time.perf_counter() - began < 5
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from lakeloom.session import shared_folder
+
+    def session(master, folder=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: folder), sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("spark://host:7077", "hdfs://x/y/")) == "hdfs://x/y"
+    with pytest.raises(ValueError):
+        shared_folder(session("spark://host:7077"))
+
+
 def plain_volumes(sizes, budget, cap):
     out, volume, files, held = [], -1, 0, 0
     for s in sizes:
@@ -255,7 +299,7 @@ def test_report_renders(spark):
 def test_a_stream_of_files_merges_once(spark, tmp_path, stored):
     batch = spark.createDataFrame([(1, "z", None, None, 1, None), (1, "y", None, None, 2, None), (6, "n", None, None, 1, None)], POST)
     batch.write.parquet(str(tmp_path / "in"))
-    table = jobs.VersionedTable(spark, str(tmp_path / "table"))
+    table = jobs.VersionedTable(spark, str(tmp_path / "table"), "id", 4)
     table.write(stored, 0)
     for _ in range(2):  # the second run finds nothing new
         stream = spark.readStream.schema(batch.schema).parquet(str(tmp_path / "in"))
@@ -263,6 +307,37 @@ def test_a_stream_of_files_merges_once(spark, tmp_path, stored):
     assert {r.id: r.md5 for r in table.read().collect()} == {1: "y", 2: "b", 3: None, 4: "d", 6: "n"}
 
 
+def test_a_version_rewrites_only_its_buckets_and_old_ones_go(spark, tmp_path):
+    rows_ = spark.createDataFrame([(i, "a") for i in range(100)] + [(None, "n")], "id long, mark string")
+    table = jobs.VersionedTable(spark, str(tmp_path / "t"), "id", 8)
+    table.write(rows_, 0)
+    change = spark.createDataFrame([(3, "b")], "id long, mark string")
+    for version in (1, 2, 2):  # the last one runs again
+        table.merge(change, version, lambda stored, new: stored.join(new.select("id"), "id", "left_anti").unionByName(new))
+    assert table.versions() == [0, 1, 2]
+    assert sorted(table.placed(2).values()).count(2) == 1 and 0 in table.placed(2).values()
+    content = lambda: {r.id: r.mark for r in table.read().collect()}
+    expected = {**{i: "a" for i in range(100)}, 3: "b", None: "n"}
+    assert content() == expected and table.read(before=1).where("mark = 'b'").count() == 0
+    table.compact(3, keep=2)
+    assert table.versions() == [2, 3] and content() == expected and table.read(before=3).count() == 101
+    table.compact(4)
+    assert table.versions() == [4] and content() == expected
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["manifest", "schema", "v4"]
+    assert all(len(list(b.glob("*.parquet"))) == 1 for b in (tmp_path / "t" / "v4").glob("bucket=*"))
+
+
+def test_a_run_that_stops_goes_on_from_its_cursor(spark, tmp_path):
+    place, ids = str(tmp_path), spark.range(5, 47).withColumnRenamed("id", "k")
+    jobs.walk_down(ids, "k", 10, place, most_batches=2)
+    done = {r.k for r in spark.read.parquet(f"{place}/out").collect()}
+    assert done == set(range(27, 47))
+    later = ids.where("k < 27").union(spark.createDataFrame([(30,)], "k long"))  # what lies above the cursor isn't read again
+    jobs.walk_down(later, "k", 10, place)
+    assert sorted(r.k for r in spark.read.parquet(f"{place}/out").collect()) == list(range(5, 47))
+    jobs.walk_down(ids.limit(0), "k", 10, str(tmp_path / "none"))
+
+
 def test_streams_of_windows_dedup_and_rates(spark, tmp_path):
     data = [(i, "h", i % 3 != 0, float(i), datetime(2024, 1, 1, 0, i)) for i in range(12)] * 2
     df = spark.createDataFrame(data, "id int, host string, ok boolean, at double, ts timestamp")
