@@ -54,7 +54,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     """``_rank``, ``_row`` and sorted ``_repeats``: of units that stand earlier elsewhere, twice their position plus the kind's number."""
     read = _keyed(docs.select("doc_id", "text")).select("_rank", "_row", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     of = lambda kind: F.regexp_extract_all("text", F.lit(KINDS[kind]), F.lit(0))
-    placed = read.select("_rank", "_row", F.size(of(0)).alias("lines"), F.posexplode(F.concat(of(0), of(1))).alias("pos", "unit"))
+    # The lines are counted below the generator: what stands beside it is worked out for each unit.
+    placed = read.withColumn("lines", F.size(of(0))).select("_rank", "_row", "lines", F.posexplode(F.concat(of(0), of(1))).alias("pos", "unit"))
     cut = placed.select("_rank", "_row", F.when(F.col("pos") < F.col("lines"), F.col("pos") * 2).otherwise((F.col("pos") - F.col("lines")) * 2 + 1).alias("_at"), "unit")
     normal = F.lower(F.trim(F.regexp_replace("unit", BLANKS, " ")))
     kind = F.col("_at") % 2
