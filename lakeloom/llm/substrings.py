@@ -125,7 +125,7 @@ class Block:
         words = np.ndarray((total - 7,), dtype="<u8", buffer=self.text, strides=(1,))
         h = _mixed(words[:-8], words[8:])
         # The hash above, the place below: the least is the leftmost of the least hash.
-        place_bits = np.uint64(max(1, int(total - 1).bit_length()))
+        place_bits = np.uint64(32)  # the same for all blocks, so that equal windows choose alike everywhere
         key = (h >> place_bits) << place_bits | np.arange(len(h), dtype=np.uint64)
         span, reach = window - SEED + 1, 1
         while reach * 2 <= span:
