@@ -13,12 +13,14 @@ estimate of the share of common spans (one-permutation min-hash).
 
 ``with_next`` compares each document with the next one in descending doc_id (the
 last with the first). Documents are dealt by ranges of doc_id, with bounds from
-approximate percentiles; the first document of each range is also sent to the
-range before it. Text moves once, and a task streams its sorted rows.
-
-Defined cases: a null text is empty; a text shorter than a span is one span, an
-empty one has the empty sketch (like another empty one to 1, any other to 0);
-among rows of one doc_id the order is that of their text, and null ids come last;
+approximate percentiles; an id that fills several ranges, and rows without an id,
+are parted by the texts' digests, which are even. The first document of each range is
+also sent to the range before it. Text moves once, and a task streams its sorted rows.
+
+Defined cases: texts of any length are read whole; a null text is empty; a text shorter
+than a span is one span, an empty one has the empty sketch (like another empty one to 1,
+any other to 0); among rows of one doc_id the order is that of their texts' digests, then
+of their texts (equal rows are in one task), and null ids come last;
 a table's only row is its own next; other columns are ignored; an empty table
 gives an empty result.
 """
@@ -127,7 +129,7 @@ SCHEMA = "doc_id long, n_chars long, edited_text string, fingerprint string, edi
 
 
 def _compare(batches):
-    """Over rows sorted by (part, head, doc_id descending, text): each document against the next."""
+    """Over rows sorted by (part, head, doc_id descending, digest, text): each document against the next."""
     part_now, before, headed = None, None, False
     for batch in batches:
         rows: list[tuple] = []
@@ -162,39 +164,51 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Each document with its fingerprint, its edit by the next document and the likenesses; see the module's text."""
     parts = shuffle_partitions(docs)
     ranges = ranges or 4 * parts
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text"))
     # One number for each range: a bounded list, whatever the table's size.
     shares = [i / ranges for i in range(1, ranges)]
-    cuts = texts.agg(F.percentile_approx("doc_id", shares, 10000).alias("cuts")).first()["cuts"] or []
-    bounds = np.unique(np.array(cuts, dtype=np.int64))
-
-    def part_of(ids: pa.Array) -> np.ndarray:
+    found = texts.agg(F.percentile_approx("doc_id", shares, 10000).alias("cuts"), F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
+    bounds, times = np.unique(np.array(found["cuts"] or [], dtype=np.int64), return_counts=True)
+    # A range holds what lies above the bound before it, up to its own; the bound's id itself has as many ranges as percentiles.
+    width = np.ones(2 * len(bounds) + 2, dtype=np.int64)
+    width[1:-1:2] = times
+    width[-1] = max(1, -(-ranges * found["nulls"] // max(1, found["n"])))
+    first_part = np.concatenate([[0], np.cumsum(width)])
+
+    def part_of(ids: pa.Array, digests: pa.Array) -> np.ndarray:
         """Ranges count downwards, as the order does; null ids come last."""
-        values = ids.fill_null(0).to_numpy(zero_copy_only=False)
-        found = len(bounds) - np.searchsorted(bounds, values, side="left")
-        return np.where(ids.is_null().to_numpy(zero_copy_only=False), len(bounds) + 1, found)
+        values, gone = ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False)
+        left, right = np.searchsorted(bounds, values, side="left"), np.searchsorted(bounds, values, side="right")
+        slot = np.where(gone, len(width) - 1, 2 * len(bounds) - left - right)  # even: between bounds, odd: a bound
+        upper = (digests.to_numpy(zero_copy_only=False).astype(np.float64) + 2.0**63) / 2.0**64
+        return first_part[slot] + np.minimum((upper * width[slot]).astype(np.int64), width[slot] - 1)
 
-    def firsts(batches):
+    def placed(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(part_of(batch.column(0)), pa.int64()), batch.column(0)], names=["part", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(part_of(batch.column(0), batch.column(1)), pa.int64()), *batch.columns], names=["part", "doc_id", "digest"])
 
-    least = texts.select("doc_id").mapInArrow(firsts, "part long, doc_id long").groupBy("part").agg(F.max("doc_id").alias("first")).orderBy("part").collect()
-    also: dict[int | None, list[int]] = {}
+    # The least of the order in each range; "absent" first, so that null ids come last.
+    order = F.struct(F.col("doc_id").isNull().alias("absent"), F.bitwise_not("doc_id").alias("down"), "digest", "doc_id")
+    least = texts.select("doc_id", "digest").mapInArrow(placed, "part long, doc_id long, digest long").groupBy("part").agg(F.min(order).alias("first")).orderBy("part").collect()
+    also: dict[tuple, list[int]] = {}
     for k, row in enumerate(least):  # the first document of a range is the next of the one before's last
-        also.setdefault(row["first"], []).append(least[k - 1]["part"])
+        also.setdefault((row["first"]["doc_id"], row["first"]["digest"]), []).append(least[k - 1]["part"])
+    ids_also = np.array(sorted({i for i, _ in also if i is not None}), dtype=np.int64)
 
     def deal(batches):
         for batch in batches:
-            ids, body = batch.column("doc_id"), batch.column("text")
-            known = ids.to_pylist()
-            heads = [(i, target) for i, doc in enumerate(known) if doc in also for target in also[doc]]
-            yield pa.RecordBatch.from_arrays([pa.array(part_of(ids), pa.int64()), pa.array(np.zeros(len(ids), np.int32)), ids, body], names=["part", "head", "doc_id", "text"])
+            ids, digests, body = batch.column("doc_id"), batch.column("digest"), batch.column("text")
+            some = np.flatnonzero(np.isin(ids.fill_null(0).to_numpy(zero_copy_only=False), ids_also) | ids.is_null().to_numpy(zero_copy_only=False))
+            heads = [(i, target) for i in some.tolist() for target in also.get((ids[i].as_py(), digests[i].as_py()), ())]
+            names = ["part", "head", "doc_id", "digest", "text"]
+            yield pa.RecordBatch.from_arrays([pa.array(part_of(ids, digests), pa.int64()), pa.array(np.zeros(len(ids), np.int32)), ids, digests, body], names=names)
             if heads:
                 at = pa.array([i for i, _ in heads])
-                yield pa.RecordBatch.from_arrays([pa.array([t for _, t in heads], pa.int64()), pa.array(np.ones(len(heads), np.int32)), ids.take(at), body.take(at)], names=["part", "head", "doc_id", "text"])
+                yield pa.RecordBatch.from_arrays([pa.array([t for _, t in heads], pa.int64()), pa.array(np.ones(len(heads), np.int32)), ids.take(at), digests.take(at), body.take(at)], names=names)
 
-    dealt = texts.mapInArrow(deal, "part long, head int, doc_id long, text string").repartition(parts, "part")
-    return dealt.sortWithinPartitions("part", "head", F.col("doc_id").desc_nulls_last(), "text").mapInArrow(_compare, SCHEMA)
+    dealt = texts.mapInArrow(deal, "part long, head int, doc_id long, digest long, text string").repartition(parts, "part")
+    return dealt.sortWithinPartitions("part", "head", F.col("doc_id").desc_nulls_last(), "digest", "text").select("part", "head", "doc_id", "text").mapInArrow(_compare, SCHEMA)
 
 
 def op9_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from lakeloom.llm.common import default_tokenizer
 
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
 from test_duplicates import plain_substrings  # noqa: E402
-from test_search import plain_top  # noqa: E402
+from test_search import in_order, plain_top  # noqa: E402
 
 sha = lambda data: hashlib.sha256(data).hexdigest()
 
@@ -64,7 +64,7 @@ def plain_likeness(a, b):
 def test_fingerprint_query_equals_plain_min_hash(spark, rows, docs_of, tmp_path, odd_rows):
     some = [(i, t) for i, t in sorted(rows) if len(t or "") < 6000][:50] + [(10_000 + (i or 0), t) for i, t in odd_rows if len(t or "") < 6000]
     docs_of(some).write.parquet(str(tmp_path / "documents.parquet"))
-    order = sorted(some, key=lambda r: (-r[0], r[1] or ""))
+    order = in_order(some)
     hexed = lambda s: "".join(f"{v:04x}" for v in s)
     expected = []
     for k, (i, t) in enumerate(order):

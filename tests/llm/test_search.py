@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 
 from lakeloom.llm import knn, licenses, prefix_hash
 
@@ -62,8 +63,14 @@ def test_spans_and_extensions():
             assert h.extension(a, h, b) == n
 
 
+def in_order(rows):
+    """Descending ids, nulls last; ties by the digest of the text."""
+    digest = lambda t: (d := xxhash.xxh64_intdigest((t or "").encode(), 42)) - (2**64 if d >> 63 else 0)
+    return sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), digest(r[1]), r[1] or ""))
+
+
 def plain_next(rows):
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    order = in_order(rows)
     out = []
     for k, (i, t) in enumerate(order):
         t, n = t or "", order[(k + 1) % len(order)][1] or ""
@@ -82,6 +89,12 @@ def test_each_document_meets_the_next(docs_of, odd_rows, clashing, ranges):
     assert made == plain_next(rows)
 
 
+def test_rows_of_one_id_and_rows_without_are_dealt_over_tasks(docs_of):
+    rows = [(7, f"text of seven {k}") for k in range(400)] + [(None, f"no id {k}") for k in range(300)] + [(k, f"other {k}") for k in range(100)] + [(7, "text of seven 3")]
+    got = prefix_hash.with_next(docs_of(rows), 20)
+    assert sorted(((r.doc_id, r.n_chars, hashlib.sha256(r.edited_text.encode()).hexdigest(), r.fingerprint, r.near_edited, r.near_next) for r in got.collect()), key=repr) == plain_next(rows)
+
+
 def test_one_document_is_its_own_next(docs_of):
     r = prefix_hash.with_next(docs_of([(5, "abcdef")])).first()
     assert (r.edited_text, r.near_next) == ("abcabc", 1.0)
