@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import functools
 import json
-import tempfile
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 
@@ -21,13 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the folder that all executors share, its lineage cut.
 
-    The folder is ``spark.checkpoint.dir``; only where that is unset, as in
-    tests, a temporary one is made.
+    The folder is ``spark.checkpoint.dir``; only a local session without that
+    setting, as in tests, has a temporary one.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lakeloom-checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
