@@ -18,8 +18,9 @@ clusters the bounds exclude little and the join is the whole query set against
 all rows, in blocks.
 
 Defined cases: vectors that are null or hold null or non-finite components take
-no part, nor do rows without a vec_id; of rows that share a vec_id one takes part
-(the least in bytes); shorter vectors count as padded by zeros; scores beyond a
+no part, nor do rows without a vec_id; rows that share a vec_id are told apart by a
+number of their own: each is a candidate of the others, and each that is a query has
+a ranking of its own; shorter vectors count as padded by zeros; scores beyond a
 long stop at its ends; a table without queries or candidates gives no rows; other
 columns are ignored.
 """
@@ -38,12 +39,12 @@ from pyspark.sql.window import Window
 
 from .common import checkpointed, shuffle_partitions, table
 
-BLOCK = "cell int, sub int, slice int, query int, ids binary, width int, wide int, body binary"
+BLOCK = "cell int, sub int, slice int, query int, rows binary, ids binary, width int, wide int, body binary"
 SLACK = 1e-6
 
 
 def quantised(vectors: DataFrame, scale: float) -> DataFrame:
-    """``vec_id``, ``v`` (doubles of floor(scale * x), as bytes), ``n`` and ``sq`` for vectors that take part."""
+    """``row`` (a number of its own), ``vec_id``, ``v`` (doubles of floor(scale * x), as bytes), ``n`` and ``sq`` for vectors that take part."""
 
     def task(batches):
         for batch in batches:
@@ -65,8 +66,7 @@ def quantised(vectors: DataFrame, scale: float) -> DataFrame:
             )
 
     read = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    every = read.mapInArrow(task, "vec_id long, v binary, n int, sq double")
-    return every.groupBy("vec_id").agg(F.min(F.struct("v", "n", "sq")).alias("x")).select("vec_id", "x.v", "x.n", "x.sq")
+    return read.mapInArrow(task, "vec_id long, v binary, n int, sq double").withColumn("row", F.monotonically_increasing_id())
 
 
 def matrix(bodies: list[bytes], dims: int) -> np.ndarray:
@@ -105,12 +105,12 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def top_k(vectors: DataFrame, k: int = 20, query_modulus: int = 20, scale: float = 64.0, pivots: int = 16, rings: int = 8, group_limit: int = 8192) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` for the rows whose id ``query_modulus`` divides, against all other rows."""
     result = "query_id long, rank int, vec_id long, score long"
-    table_ = checkpointed(quantised(vectors, scale))
+    table_ = checkpointed(quantised(vectors, scale))  # written once, so that a row keeps its number
     shape = table_.agg(F.max("n").alias("n"), F.max("sq").alias("sq")).first()
     if shape["n"] is None:
         return vectors.sparkSession.createDataFrame([], result)
     dims, most = max(1, shape["n"]), shape["sq"]
-    sample = table_.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
+    sample = table_.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(pivots).collect()
     centre = matrix([bytes(r["v"]) for r in sample], dims)
     lifted = lambda sq: np.sqrt(np.maximum(most - sq, 0))
     centre_lift = lifted((centre * centre).sum(1))
@@ -119,25 +119,25 @@ def top_k(vectors: DataFrame, k: int = 20, query_modulus: int = 20, scale: float
     slices = max(2, -(-2 * parts // pivots))
 
     def placed(batch):
-        """Of a batch: ids, matrix, cell and distance as data; for queries, as queries."""
-        ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
+        """Of a batch: row numbers, ids, matrix, cell and distance as data; for queries, as queries."""
+        ids, rows = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("vec_id", "row"))
         x = matrix(batch.column("v").to_pylist(), dims)
         as_data = _distances(x, lifted((x * x).sum(1)), centre, centre_lift)
         as_query = _distances(x, np.zeros(len(x)), centre, centre_lift)
         cell, q_cell = as_data.argmin(1), as_query.argmin(1)
         at = np.arange(len(ids))
-        return ids, x, cell, as_data[at, cell], ids % query_modulus == 0, q_cell, as_query[at, q_cell]
+        return rows, ids, x, cell, as_data[at, cell], ids % query_modulus == 0, q_cell, as_query[at, q_cell]
 
     def summarise(batches):
         for batch in batches:
             if batch.num_rows:
-                ids, _, cell, d, is_query, q_cell, q_d = placed(batch)
+                _, _, _, cell, d, is_query, q_cell, q_d = placed(batch)
                 ring = np.minimum(d // width, rings - 1).astype(np.int32)
                 rows = [(0, int(c), int(r), len(s := d[(cell == c) & (ring == r)]), float(s.min()), float(s.max())) for c, r in sorted(set(zip(cell.tolist(), ring.tolist(), strict=True)))]
                 rows += [(1, int(c), 0, len(s := q_d[is_query & (q_cell == c)]), float(s.min()), float(s.max())) for c in sorted(set(q_cell[is_query].tolist()))]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["query", "cell", "ring", "n", "least", "most"])
 
-    counted = table_.select("vec_id", "v").mapInArrow(summarise, "query long, cell long, ring long, n long, least double, most double")
+    counted = table_.select("row", "vec_id", "v").mapInArrow(summarise, "query long, cell long, ring long, n long, least double, most double")
     summary = counted.groupBy("query", "cell", "ring").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most")).collect()
     data = sorted((r["cell"], r["ring"], r["n"], r["least"], r["most"]) for r in summary if not r["query"])
     groups = {r["cell"]: (r["n"], r["most"]) for r in summary if r["query"]}
@@ -161,7 +161,7 @@ def top_k(vectors: DataFrame, k: int = 20, query_modulus: int = 20, scale: float
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, x, cell, d, is_query, q_cell, _ = placed(batch)
+            numbers, ids, x, cell, d, is_query, q_cell, _ = placed(batch)
             ring = np.minimum(d // width, rings - 1).astype(np.int64)
             rows = []
             for g in groups:
@@ -172,35 +172,35 @@ def top_k(vectors: DataFrame, k: int = 20, query_modulus: int = 20, scale: float
                 for lo in range(0, int(some.sum()), 2048):
                     pick = np.flatnonzero(some)[lo : lo + 2048]
                     wide, body = packed(x[pick])
-                    rows += [(g, sub, turn % slices, 0, ids[pick].astype("<i8").tobytes(), dims, wide, body) for sub in range(subs[g])]
+                    rows += [(g, sub, turn % slices, 0, numbers[pick].astype("<i8").tobytes(), ids[pick].astype("<i8").tobytes(), dims, wide, body) for sub in range(subs[g])]
                     turn += 1
                 for sub in range(subs[g]):
-                    pick = np.flatnonzero(is_query & (q_cell == g) & (ids // query_modulus % subs[g] == sub))
+                    pick = np.flatnonzero(is_query & (q_cell == g) & (numbers % subs[g] == sub))
                     if len(pick):
                         wide, body = packed(x[pick])
-                        rows += [(g, sub, s, 1, ids[pick].astype("<i8").tobytes(), dims, wide, body) for s in range(slices)]
+                        rows += [(g, sub, s, 1, numbers[pick].astype("<i8").tobytes(), ids[pick].astype("<i8").tobytes(), dims, wide, body) for s in range(slices)]
             for row in rows:
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=[f.split()[0] for f in BLOCK.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=[f.split()[0] for f in BLOCK.split(", ")])
 
     def solve(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for b in batches for r in b.to_pylist()]
 
         def block(row):
-            return np.frombuffer(row["ids"], dtype="<i8"), np.frombuffer(row["body"], dtype="<f8" if row["wide"] else "<i2").reshape(-1, row["width"]).astype(np.float64)
+            return np.frombuffer(row["rows"], dtype="<i8"), np.frombuffer(row["ids"], dtype="<i8"), np.frombuffer(row["body"], dtype="<f8" if row["wide"] else "<i2").reshape(-1, row["width"]).astype(np.float64)
 
         queries = [block(r) for r in rows if r["query"]]
         if not queries:
             return
-        q_ids, q = np.concatenate([b[0] for b in queries]), np.concatenate([b[1] for b in queries])
+        q_rows, q_ids, q = (np.concatenate([b[i] for b in queries]) for i in range(3))
         found: list[list] = [[] for _ in q_ids]
         floor = np.full(len(q_ids), -np.inf)
         for row in rows:
             if row["query"]:
                 continue
-            ids, x = block(row)
+            own, ids, x = block(row)
             for lo in range(0, len(q_ids), 1024):  # bounded blocks of scores
                 scores = products(q[lo : lo + 1024], x)
-                eligible = q_ids[lo : lo + 1024, None] != ids[None]
+                eligible = q_rows[lo : lo + 1024, None] != own[None]
                 if scores.dtype != object and len(ids) > k:
                     near = np.partition(np.where(eligible, scores, -np.inf), len(ids) - k, axis=1)[:, len(ids) - k]
                     floor[lo : lo + 1024] = np.maximum(floor[lo : lo + 1024], near)
@@ -208,16 +208,16 @@ def top_k(vectors: DataFrame, k: int = 20, query_modulus: int = 20, scale: float
                 for i, cut in zip(*_runs(hit_q), strict=True):
                     found[lo + i].append((scores[i, hit_x[cut]], ids[hit_x[cut]]))
         out = []
-        for qid, each in zip(q_ids.tolist(), found, strict=True):
+        for number, qid, each in zip(q_rows.tolist(), q_ids.tolist(), found, strict=True):
             if each:
                 scores, ids = np.concatenate([e[0] for e in each]), np.concatenate([e[1] for e in each])
                 pick = best(scores, ids, k)
-                out += [(qid, int(i), int(s)) for i, s in zip(ids[pick].tolist(), scores[pick].tolist(), strict=True)]
-        columns = list(zip(*out, strict=True)) if out else [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+                out += [(number, qid, int(i), int(s)) for i, s in zip(ids[pick].tolist(), scores[pick].tolist(), strict=True)]
+        columns = list(zip(*out, strict=True)) if out else [(), (), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["row", "query_id", "vec_id", "score"])
 
-    partial = table_.select("vec_id", "v").mapInArrow(deal, BLOCK).groupBy("cell", "sub", "slice").applyInArrow(solve, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    partial = table_.select("row", "vec_id", "v").mapInArrow(deal, BLOCK).groupBy("cell", "sub", "slice").applyInArrow(solve, "row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     ranked = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast(T.IntegerType()).alias("rank"), "vec_id", "score")
 

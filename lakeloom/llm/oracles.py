@@ -56,23 +56,24 @@ GROUP BY w.rid
 #: Brute force over the quantised vectors.
 KNN_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+  SELECT a.rid, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.rid <> b.rid
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 20
 """
 
 #: Clauses by position with windows; a line is the clauses up to one with a line feed.
 UNITS_SQL = r"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
-x AS (SELECT rid, coalesce(doc_id, -9223372036854775808) AS rank, regexp_extract_all(text, '[^.,!?\n]*(?:[.,!?]+\n*|\n+)|[^.,!?\n]+') AS us FROM d),
+WITH d0 AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+d AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, substr(md5(text), 1, 15), rid) AS rank FROM d0),
+x AS (SELECT rid, rank, regexp_extract_all(text, '[^.,!?\n]*(?:[.,!?]+\n*|\n+)|[^.,!?\n]+') AS us FROM d),
 u AS (SELECT rid, rank, unnest(us) AS unit, unnest(range(len(us))) AS pos FROM x),
 n AS (
   SELECT *, lower(trim(regexp_replace(unit, '[ \t\r\n]+', ' ', 'g'))) AS normal,

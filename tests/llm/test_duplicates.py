@@ -1,5 +1,6 @@
 """Near and exact duplicates against plain versions: SimHash, suffixes, units."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -159,8 +160,9 @@ def test_induced_order_is_the_order_of_suffixes(memory):
 
 
 def plain_units(rows):
-    """Lines, and the clauses of those that stay, in order of all documents; a repeat is one whose normal form stood earlier."""
-    rank = lambda i: -(2**63) if i is None else i
+    """Lines, and the clauses of those that stay, in order of all rows; a repeat is one whose normal form stood earlier."""
+    in_order = sorted(range(len(rows)), key=lambda k: (-(2**63) if rows[k][0] is None else rows[k][0], hashlib.md5((rows[k][1] or "").encode()).hexdigest()[:15], k))
+    rank = {k: place for place, k in enumerate(in_order)}
     normal = lambda u: re.sub(r"[ \t\r\n]+", " ", u).strip(" ").lower()
     words = lambda u: [w for w in re.split(r"[ \t\r\n]+", u) if w]
     cut = []
@@ -170,27 +172,27 @@ def plain_units(rows):
         assert "".join(c for _, c in clauses) == (t or "")
         cut.append((i, t, lines, clauses))
     first = {}
-    for i, _, lines, clauses in cut:
+    for at, (_, _, lines, clauses) in enumerate(cut):
         for kind, of in ((0, lines), (1, [c for _, c in clauses])):
             for pos, u in enumerate(of):
-                first[kind, normal(u)] = min(first.get((kind, normal(u)), (rank(i), pos)), (rank(i), pos))
+                first[kind, normal(u)] = min(first.get((kind, normal(u)), (rank[at], pos)), (rank[at], pos))
     out = []
-    for i, t, lines, clauses in cut:
-        again = lambda kind, u, pos: (rank(i), pos) > first[kind, normal(u)]  # noqa: B023, E731
+    for at, (i, t, lines, clauses) in enumerate(cut):
+        again = lambda kind, u, pos, at=at: (rank[at], pos) > first[kind, normal(u)]
         line_gone = [again(0, u, k) and bool(words(u)) for k, u in enumerate(lines)]
         state = ["line" if line_gone[k] else "again" if again(1, c, pos) else "new" for pos, (k, c) in enumerate(clauses)]
         gone = []
         for kind, run in itertools.groupby(range(len(clauses)), key=lambda p: state[p]):  # noqa: B023
             sizes = [len(words(clauses[p][1])) for p in run]
             gone += [kind == "line" or (kind == "again" and (max(sizes) >= 12 or sum(sizes) >= 20))] * len(sizes)
-        kept, spans, at = "", [], 0
+        kept, spans, start = "", [], 0
         for is_gone, run in itertools.groupby(range(len(clauses)), key=lambda p: gone[p]):  # noqa: B023
             body = "".join(clauses[p][1] for p in run)
             if is_gone:
-                spans.append((at, len(body)))
+                spans.append((start, len(body)))
             else:
                 kept += body
-            at += len(body)
+            start += len(body)
         out.append((i, None if t is None else kept, spans))
     return sorted(out, key=repr)
 
@@ -213,6 +215,8 @@ def test_unit_query_equals_sql_on_odd_rows(docs_of, odd_rows, spark, tmp_path):
 
     wide = " ".join(f"w{k}" for k in range(14))
     rows = [(10, wide + "."), (11, f"own text, {wide}."), (12, "Accept all cookies\nmine"), (13, "yours\naccept  all cookies\n"), (14, "one two\n"), (15, "one two\nand"), *odd_rows]
+    one_rank = ["accept all cookies\nalpha", "accept all cookies\nbeta", "gamma\naccept all cookies"]
+    rows += [(i, t) for i in (None, 7) for t in one_rank] + [(None, f"{wide}.\nof its own")] * 5
     docs_of(rows).write.parquet(str(tmp_path / "documents.parquet"))
     df = units.op10_unit_dedup(spark, str(tmp_path))
     con = duckdb.connect()
@@ -221,8 +225,10 @@ def test_unit_query_equals_sql_on_odd_rows(docs_of, odd_rows, spark, tmp_path):
     names = [d[0] for d in made.description]
     got = sorted((tuple(r) for r in df.collect()), key=repr)
     assert got == sorted((tuple(r[names.index(c)] for c in df.columns) for r in made.fetchall()), key=repr)
-    spans = {r.doc_id: r.removed_spans for r in df.collect()}
-    assert (spans[11], spans[12], spans[13], spans[15]) == ("", "", "6+20", "0+8")
+    made = {r.doc_id: r for r in df.collect()}
+    spans = {i: r.removed_spans for i, r in made.items()}
+    assert sum("accept all cookies" in (r.text or "").lower() for r in units.dedup_units(docs_of(rows)).collect()) == 1
+    assert (spans[12], spans[13], spans[15]) == ("0+19", "6+20", "0+8")
 
 
 def test_the_two_hashes_of_a_unit_are_independent(spark):

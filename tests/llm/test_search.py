@@ -11,14 +11,16 @@ from lakeloom.llm import knn, licenses, prefix_hash
 
 
 def plain_top(rows, k):
-    ok = {i: [np.floor(64 * x) for x in v] for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    ok = [(i, [np.floor(64 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q in (i for i in ok if i % 20 == 0):
+    for at, (q, w) in enumerate(ok):
+        if q % 20:
+            continue
         scores = []
-        for i, v in ok.items():
-            if i != q:
-                n = min(len(v), len(ok[q]))
-                scores.append((-int(sum(int(a) * int(b) for a, b in zip(ok[q][:n], v[:n], strict=True))), i))
+        for other, (i, v) in enumerate(ok):
+            if other != at:
+                n = min(len(v), len(w))
+                scores.append((-int(sum(int(a) * int(b) for a, b in zip(w[:n], v[:n], strict=True))), i))
         out += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scores)[:k], 1)]
     return sorted(out)
 
@@ -31,13 +33,27 @@ def test_top_k_equals_brute_force(spark, kind):
     for i in range(400):
         v = centres[i % 6] + rng.normal(size=8) * 0.05 if kind == "clusters" else rng.normal(size=8) * (2e6 if kind == "large" else 1)
         rows.append((i, [float(x) for x in v]))
-    rows += [(500, rows[20][1]), (520, rows[20][1]), (540, None), (560, [1.0, None]), (580, [float("nan")] * 8), (600, [float("inf")] * 8), (620, []), (None, rows[3][1]), (640, [0.0] * 8)]
+    rows += [(500, rows[20][1]), (520, rows[20][1]), (540, None), (560, [1.0, None]), (580, [float("nan")] * 8), (600, [float("inf")] * 8), (620, []), (None, rows[3][1]), (640, [0.0] * 8), (20, rows[7][1]), (20, rows[7][1]), (21, rows[8][1]), (21, rows[9][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     for limit in (8192, 3):
         got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in knn.top_k(df, 20, group_limit=limit).collect())
         assert got == plain_top(rows, 20)
 
 
+def test_rows_that_share_an_id_equal_sql(spark, tmp_path):
+    import duckdb
+
+    from lakeloom.llm import oracles
+
+    rows = [(0, [1.0, 2.0]), (0, [3.0, 1.0]), (1, [1.0, 1.0]), (1, [5.0, 5.0]), (2, [0.5, 0.1])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = sorted(map(tuple, knn.op4_voronoi_knn(spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert got == sorted(con.execute(oracles.KNN_SQL).fetchall())
+    assert [r for r in got if r[1] == 1] == [(0, 1, 1, 61440), (0, 1, 1, 81920)]
+
+
 def test_top_k_of_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 1.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in knn.top_k(df).collect()] == [(0, 1, 1, 64 * 64 * 5)]
