@@ -100,3 +100,32 @@ SELECT any_value(d.doc_id) AS doc_id,
 FROM d JOIN x USING (rid) LEFT JOIN g USING (rid)
 GROUP BY rid
 """
+
+#: Near words by every deletion of each word; the hash is worked out byte by byte from its table.
+VARIANTS_SQL = f"""
+WITH RECURSIVE
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: xor(c >> 1, 3988292384 * (c & 1)))) AS tab),
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{ASCII_UPPER}', '{ASCII_LOWER}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+c AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS named, run, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY ALL),
+h AS (
+  SELECT run, n, xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(named, ''), lambda s: CASE WHEN unicode(s) < 128 THEN [CAST(unicode(s) AS BIGINT)] ELSE [195, unicode(s) - 64] END))),
+    lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) AS h
+  FROM c, crc
+),
+e AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM e WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+d AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM w)),
+p AS (
+  SELECT a.word, b.word AS other FROM d a JOIN d b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT d.word, w.word FROM d JOIN w ON w.word = d.rest
+  UNION SELECT w.word, d.word FROM d JOIN w ON w.word = d.rest
+),
+f AS (
+  SELECT w.word, w.n, count(p.other) AS n_near, max(o.n) AS most
+  FROM w LEFT JOIN p ON p.word = w.word LEFT JOIN w o ON o.word = p.other GROUP BY w.word, w.n
+),
+g AS (SELECT word, n, n_near, CASE WHEN most >= 10 * n THEN (SELECT min(p.other) FROM p JOIN w o ON o.word = p.other WHERE p.word = f.word AND o.n = most) END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n FROM f),
+k AS (SELECT word, word AS root FROM g UNION ALL SELECT k.word, g.form FROM k JOIN g ON g.word = k.root WHERE g.form IS NOT NULL)
+SELECT g.word, g.form, k.root, g.n, CAST(g.n_near AS BIGINT) AS n_near, g.form_n
+FROM g JOIN k ON k.word = g.word JOIN g last ON last.word = k.root AND last.form IS NULL
+"""
