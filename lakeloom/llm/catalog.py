@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, knn, licenses, mixing, oracles, packing, prefix_hash, quality, simhash, substrings, toxicity, units, variants
+from . import bpe, knn, licenses, mixing, oracles, packing, prefix_hash, quality, ranked, simhash, substrings, toxicity, units, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_additive_quality": quality.op1_additive_quality,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": substrings.op8_suffix_dedup,
     "op9_prefix_fingerprints": prefix_hash.op9_prefix_fingerprints,
     "op10_unit_dedup": units.op10_unit_dedup,
+    "op11_block_max_wand": ranked.op11_block_max_wand,
     "op12_trie_variants": variants.op12_trie_variants,
     "op13_flow_mixing": mixing.op13_flow_mixing,
 }
@@ -26,5 +27,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_voronoi_knn": oracles.KNN_SQL,
     "op6_license_rules": oracles.license_sql(),
     "op10_unit_dedup": oracles.UNITS_SQL,
+    "op11_block_max_wand": oracles.RANKED_SQL,
     "op12_trie_variants": oracles.VARIANTS_SQL,
 }

@@ -129,3 +129,20 @@ k AS (SELECT word, word AS root FROM g UNION ALL SELECT k.word, g.form FROM k JO
 SELECT g.word, g.form, k.root, g.n, CAST(g.n_near AS BIGINT) AS n_near, g.form_n
 FROM g JOIN k ON k.word = g.word JOIN g last ON last.word = k.root AND last.form IS NULL
 """
+
+#: Every document scored for every item.
+RANKED_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+g AS (SELECT count(*) AS docs, CAST(sum(len(ts)) AS BIGINT) AS total FROM d WHERE len(ts) > 0),
+m AS (SELECT rid, doc_id, 75 + (25 * len(ts) * docs) // total AS m FROM d, g WHERE len(ts) > 0),
+p AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ts) AS term FROM d) GROUP BY rid, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), g),
+q AS (SELECT row_number() OVER () AS qid, item_id, regexp_extract_all(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM benchmark),
+t AS (SELECT qid, term, count(*) AS times FROM (SELECT qid, unnest(ts) AS term FROM q) GROUP BY qid, term),
+s AS (
+  SELECT qid, rid, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM t JOIN w USING (term) JOIN p USING (term) JOIN m USING (rid) GROUP BY qid, rid
+),
+k AS (SELECT qid, rid, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s JOIN m USING (rid) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k JOIN m USING (rid) JOIN q USING (qid) WHERE rank <= 20
+"""
