@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import _in_range, bounds, numbered, ranges_of, running
+from .ordered import dealt, numbered, running
 
 
 def shard_of(df: DataFrame, order: list[str], cap: int, sealed: int = 0, descending: bool = False) -> DataFrame:
@@ -34,7 +34,7 @@ def sealed_volumes(df: DataFrame, order: list[str], size: str, cap: int) -> Data
     return made.withColumn("deferred", F.col("written") - F.coalesce(F.col(size), F.lit(0)) >= cap)
 
 
-def pack_volumes(df: DataFrame, key: str, size: str, budget: int, max_files: int, ranges: int = 32, rows_per_range: int = 1_000_000) -> DataFrame:
+def pack_volumes(df: DataFrame, key: str, size: str, budget: int, max_files: int, ranges: int | None = None) -> DataFrame:
     """``df`` with ``volume``, from 0: sequential greedy packing in the order of the unique numeric ``key``.
 
     A new volume starts when the present one isn't empty and has ``max_files`` files
@@ -45,15 +45,19 @@ def pack_volumes(df: DataFrame, key: str, size: str, budget: int, max_files: int
     first new volume can start (at most ``max_files`` places, by one backward
     pass); these summaries are then walked range by range, one range's at a time,
     and each range is packed for good from the state it begins with. No task holds
-    more than a range, the driver no more than one range's summary.
+    more than a range, the driver no more than one range's summary. Ranges are those of
+    ``ordered.dealt``, so a range is what one task of Spark's shuffle gets.
     """
     names, key_type = df.columns, df.schema[key].dataType
-    cuts = bounds(df, F.col(key), ranges_of(df, ranges, rows_per_range))
-    items = df.select(F.col(key).alias("_k"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("_s"), _in_range(F.col(key), cuts).alias("_r"))
+    items = dealt(df.select(F.col(key).alias("_k"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("_s")), ["_k"], ranges=ranges)
 
-    def read(batches) -> tuple[int, np.ndarray, np.ndarray]:
-        t = pa.Table.from_batches(list(batches)).sort_by("_k")
-        return t.column("_r")[0].as_py(), t.column("_k"), t.column("_s").to_numpy().astype(np.int64)
+    def read(batches: Iterator[pa.RecordBatch]) -> tuple[int, pa.ChunkedArray, np.ndarray] | None:
+        """A range: its number, keys and sizes, in order."""
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return None
+        whole = pa.Table.from_batches(held)
+        return whole.column("_range")[0].as_py(), whole.column("_k"), whole.column("_s").to_numpy().astype(np.int64)
 
     def jumps(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Prefix sums, and for a volume that starts at i where the next starts (the end, if not here)."""
@@ -70,8 +74,10 @@ def pack_volumes(df: DataFrame, key: str, size: str, budget: int, max_files: int
         by_bytes = int(np.searchsorted(upto, budget - held, side="right")) - 1
         return max(0, min(by_bytes, max_files - files, n))
 
-    def summarise(key_: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r, _, sizes = read(batches)
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (whole := read(batches)) is None:
+            return
+        r, _, sizes = whole
         upto, after = jumps(sizes)
         n = len(sizes)
         last, count = np.arange(n + 1), np.zeros(n + 1, np.int64)
@@ -85,7 +91,7 @@ def pack_volumes(df: DataFrame, key: str, size: str, budget: int, max_files: int
             names=["r", "n", "at", "upto", "volumes", "files", "held", "all"],
         )
 
-    summary = items.groupBy("_r").applyInArrow(summarise, "r long, n long, at long, upto long, volumes long, files long, held long, all long")
+    summary = items.mapInArrow(summarise, "r long, n long, at long, upto long, volumes long, files long, held long, all long")
     state: dict[int, tuple[int, int, int]] = {}
     files = held = volume = 0  # volume: how many have started
     group: list = []
@@ -109,8 +115,10 @@ def pack_volumes(df: DataFrame, key: str, size: str, budget: int, max_files: int
     if group:
         walk(group)
 
-    def place(key_: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r, keys, sizes = read(batches)
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (whole := read(batches)) is None:
+            return
+        r, keys, sizes = whole
         upto, after = jumps(sizes)
         open_files, open_bytes, started = state[r]
         at = first_start(upto, open_files, open_bytes)
@@ -120,7 +128,7 @@ def pack_volumes(df: DataFrame, key: str, size: str, budget: int, max_files: int
             at = int(after[at])
         yield from pa.table([keys, pa.array(started + np.cumsum(new) - 1)], names=["_k", "volume"]).to_batches()
 
-    placed = items.groupBy("_r").applyInArrow(place, f"_k {key_type.simpleString()}, volume long")
+    placed = items.mapInArrow(place, f"_k {key_type.simpleString()}, volume long")
     return df.join(placed, F.col(key) == F.col("_k")).select(*names, "volume")
 
 

@@ -1,98 +1,89 @@
-"""Numbering and running sums over a whole table, without one task that holds it.
-
-A global order is dealt into ranges of all its columns; ranges are counted, the
-few counts are added up, and rows are numbered inside their range. What meets in
-one place is a row for each range.
+"""Numbering, running sums and streaks over a whole table, without one task that holds it.
+
+Spark deals the rows into ranges of the whole order (it samples for the cuts, so nothing
+of the data comes into the plan) and sorts each. The dealt table is written once to the
+shared folder: Spark draws other samples when a plan is worked out again, so only rows
+that stay where they are can be counted first and numbered after. A row's place in its
+range is then known from where it lies; what the earlier ranges add up to is a row for
+each range, which is broadcast. Running values go through each range once, in its order.
 """
 
 from __future__ import annotations
 
-import datetime
 import functools
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-
-def bounds(df: DataFrame, key: Column, ranges: int) -> list:
-    """At most ``ranges`` - 1 distinct cut points of a numeric ``key``."""
-    shares = [i / ranges for i in range(1, ranges)]
-    found = df.agg(F.percentile_approx(key, shares, 10000).alias("cuts")).first()["cuts"]
-    return sorted(set(found or []))
-
-
-def _in_range(key: Column, cuts: list) -> Column:
-    """How many cuts lie below the key: a balanced tree of comparisons, nulls last."""
-
-    def pick(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key <= F.lit(cuts[mid]), pick(lo, mid)).otherwise(pick(mid + 1, hi))
-
-    return F.when(key.isNull(), F.lit(len(cuts) + 1)).otherwise(pick(0, len(cuts)))
+from ..session import checkpointed
 
 
-def _literal(value, kind: str) -> Column:
-    """A collected value as a column of its type; times go by their text, which no time zone changes."""
-    return F.lit(str(value) if isinstance(value, datetime.date) else value).cast(kind)
+def dealt(df: DataFrame, order: list[str], descending: bool = False, ranges: int | None = None) -> DataFrame:
+    """``df``, written once, with ``_range`` and ``_at``: a row's range in the given order and its place there, from 1.
 
-
-def ranges_of(df: DataFrame, least: int, rows: int) -> int:
-    """How many ranges ``df`` is dealt into: ``least`` of them, or as many as ranges of ``rows`` rows need."""
-    return max(least, -(-df.count() // rows))
-
-
-def _range_of(df: DataFrame, order: list[Column], ranges: int, sampled: int = 32) -> Column:
-    """The number of a row's range in the whole order of all its columns, nulls last in each.
-
-    The cuts come from a sample of ``sampled`` rows for each range, the same each
-    time: the rows with the least hashes.
+    Nulls come last in each column; ``descending`` turns the first one round. A partition
+    is a range, its rows in order. Without ``ranges`` there are as many as Spark deals a
+    shuffle into. Rows that agree in all of ``order`` are in one range.
     """
-    key = lambda values: F.struct(*(x for v in values for x in (v.isNull(), v)))
-    named = df.select(*(c.alias(f"c{i}") for i, c in enumerate(order)))
-    names = named.columns
-    drawn = named.orderBy(F.xxhash64(*names), *names).limit(ranges * sampled).orderBy(*(F.col(c).asc_nulls_last() for c in names)).collect()
-    kinds = [kind for _, kind in named.dtypes]
-    at = sorted({len(drawn) * i // ranges for i in range(1, ranges)} - {0})
-    cuts = [key([_literal(v, k) for v, k in zip(drawn[i], kinds, strict=True)]) for i in at]
-    mine = key(order)
-
-    def pick(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(mine <= cuts[mid], pick(lo, mid)).otherwise(pick(mid + 1, hi))
-
-    return pick(0, len(cuts))
-
-
-def running(df: DataFrame, order: list[str], sums: dict[str, Column], descending: bool = False, ranges: int = 64, rows_per_range: int = 1_000_000) -> DataFrame:
-    """``df`` with, for each of ``sums``, the running total up to and with the row.
-
-    ``order`` must be a total order; ``descending`` turns its first column, then a
-    number, round. Nulls come last in each column. An empty table stays empty. Ranges
-    are cut in the whole order, so rows that agree in its first columns are parted
-    by the others.
+    keys = [F.col(order[0]).desc_nulls_last() if descending else F.col(order[0]).asc_nulls_last(), *(F.col(c).asc_nulls_last() for c in order[1:])]
+    placed = df.repartitionByRange(ranges, *keys) if ranges else df.repartitionByRange(*keys)
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return checkpointed(placed.sortWithinPartitions(*keys).withColumns({"_range": F.spark_partition_id(), "_at": within}))
+
+
+def _earlier(totals: DataFrame, **values: Column) -> DataFrame:
+    """``_range`` with ``values`` over all ranges before; a row for each range."""
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(totals.select("_range", *(v.over(before).alias(name) for name, v in values.items())))
+
+
+def _accumulated(df: DataFrame, columns: dict[str, np.ufunc]) -> DataFrame:
+    """``df`` (of ``dealt``) with each of ``columns``, a long or double without nulls, accumulated through its range."""
+    schema = df.schema
+
+    def task(batches):
+        carried: dict = {}
+        for batch in batches:
+            made = []
+            for field in schema:
+                values = batch.column(field.name)
+                if field.name in columns and len(values):
+                    run, of = columns[field.name], values.to_numpy(zero_copy_only=False)
+                    if field.name in carried:
+                        of = of.copy()
+                        of[0] = run(of[0], carried[field.name])
+                    out = run.accumulate(of)
+                    carried[field.name] = out[-1]
+                    values = pa.array(out, values.type)
+                made.append(values)
+            yield pa.RecordBatch.from_arrays(made, names=schema.names)
+
+    return df.mapInArrow(task, schema)
+
+
+def running(df: DataFrame, order: list[str], sums: dict[str, Column], descending: bool = False, ranges: int | None = None) -> DataFrame:
+    """``df`` with, for each of ``sums`` (whole or floating numbers), the running total up to and with the row.
+
+    ``order`` must be a total order. Nulls add nothing. An empty table stays empty.
     """
-    lead = -F.col(order[0]) if descending else F.col(order[0])
-    whole = [lead, *map(F.col, order[1:])]
-    placed = df.withColumns({"_range": _range_of(df, whole, ranges_of(df, ranges, rows_per_range)), **{f"_v{i}": c for i, c in enumerate(sums.values())}})
-    kept = [f"_v{i}" for i in range(len(sums))]
-    # A row for each range: their window is bounded by the number of ranges, and so is the broadcast.
-    totals = placed.groupBy("_range").agg(*(F.sum(v).alias(v) for v in kept))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select("_range", *(F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_b{i}") for i, v in enumerate(kept)))
-    inside = Window.partitionBy("_range").orderBy(*(c.asc_nulls_last() for c in whole)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    made = placed.join(F.broadcast(before), "_range")
-    return made.select(*df.columns, *((F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.col(f"_b{i}")).alias(name) for i, (v, name) in enumerate(zip(kept, sums, strict=True))))
-
-
-def numbered(df: DataFrame, order: list[str], name: str = "n", base: int = 0, descending: bool = False) -> DataFrame:
+    kept = {f"_v{i}": name for i, name in enumerate(sums)}
+    kinds = dict(df.select(*(c.alias(v) for v, c in zip(kept, sums.values(), strict=True))).dtypes)
+    wide = {v: "double" if kinds[v] in ("float", "double") or kinds[v].startswith("decimal") else "bigint" for v in kept}
+    values = {v: F.coalesce(c.cast(wide[v]), F.lit(0).cast(wide[v])) for v, c in zip(kept, sums.values(), strict=True)}
+    placed = dealt(df.withColumns(values), order, descending, ranges)
+    before = _earlier(placed.groupBy("_range").agg(*(F.sum(v).alias(v) for v in kept)), **{f"_b{v}": F.sum(v) for v in kept})
+    made = _accumulated(placed, dict.fromkeys(kept, np.add)).join(before, "_range")
+    return made.select(*df.columns, *((F.col(v) + F.coalesce(F.col(f"_b{v}"), F.lit(0).cast(wide[v]))).alias(name) for v, name in kept.items()))
+
+
+def numbered(df: DataFrame, order: list[str], name: str = "n", base: int = 0, descending: bool = False, ranges: int | None = None) -> DataFrame:
     """``df`` with ``name``: ``base`` + 1, 2, … in the given total order."""
-    made = running(df, order, {name: F.lit(1).cast("long")}, descending)
-    return made.withColumn(name, F.col(name) + F.lit(base)) if base else made
+    placed = dealt(df, order, descending, ranges)
+    before = _earlier(placed.groupBy("_range").agg(F.count("*").alias("n")), _before=F.sum("n"))
+    return placed.join(before, "_range").select(*df.columns, (F.col("_at") + F.coalesce("_before", F.lit(0)) + F.lit(base)).cast("long").alias(name))
 
 
 def chunked(df: DataFrame, order: list[str], size: int, name: str = "chunk") -> DataFrame:
@@ -102,14 +93,18 @@ def chunked(df: DataFrame, order: list[str], size: int, name: str = "chunk") ->
     return numbered(df, order, name).withColumn(name, F.floor((F.col(name) - 1) / size).cast("long"))
 
 
-def streaks(df: DataFrame, order: list[str], hit: Column, name: str = "streak") -> DataFrame:
+def streaks(df: DataFrame, order: list[str], hit: Column, name: str = "streak", ranges: int | None = None) -> DataFrame:
     """``df`` with the length so far of the run of rows for which ``hit`` holds; 0 where it doesn't."""
     marked = df.withColumn("_hit", F.coalesce(hit, F.lit(False)))
-    made = running(marked, order, {"_n": F.lit(1).cast("long"), "_breaks": F.when(F.col("_hit"), 0).otherwise(1).cast("long")})
-    # Within one island all rows but the first are hits, so a row's streak is its distance from the break.
-    starts = made.where(~F.col("_hit")).select("_breaks", F.col("_n").alias("_from"))
-    joined = made.join(starts, "_breaks", "left")
-    return joined.select(*df.columns, (F.col("_n") - F.coalesce("_from", F.lit(0))).alias(name))
+    # The place of the last row so far that is no hit: in the range, or else in those before.
+    placed = dealt(marked, order, ranges=ranges).withColumn("_last", F.when(F.col("_hit"), 0).otherwise(F.col("_at")).cast("long"))
+    totals = placed.groupBy("_range").agg(F.count("*").alias("n"), F.max("_last").alias("last"))
+    upto = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = totals.withColumn("_before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    before = _earlier(whole.withColumn("last", F.when(F.col("last") > 0, F.col("last") + F.col("_before"))), _number=F.sum("n"), _broken=F.max("last"))
+    made = _accumulated(placed, {"_last": np.maximum}).join(before, "_range")
+    carried = F.coalesce("_number", F.lit(0)) - F.coalesce("_broken", F.lit(0))
+    return made.select(*df.columns, (F.col("_at") - F.when(F.col("_last") > 0, F.col("_last")).otherwise(-carried)).cast("long").alias(name))
 
 
 def ordered_union(*frames: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import os
 import shutil
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,6 +29,14 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the folder that all executors share, its lineage cut."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint(eager=True)
+
+
 def local_session(app: str = "lakeloom", cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session with the settings that the tests and the bench share."""
     return (
@@ -38,6 +46,7 @@ def local_session(app: str = "lakeloom", cores: str | int = "*", shuffle_partiti
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("LAKELOOM_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -105,13 +105,38 @@ def test_one_lead_value_is_parted_by_the_other_columns(spark, lead):
     from pyspark.sql.window import Window
 
     df = spark.range(3000).select(F.lit(lead).cast("int").alias("k"), F.to_timestamp_ntz(F.concat(F.lit("2024-01-01 00:00:"), F.lpad((F.col("id") % 60).cast("string"), 2, "0"))).alias("at"), F.concat(F.lit("t"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("tag"))
-    place = ordered._range_of(df, [F.col(c) for c in ("k", "at", "tag")], 16)
-    sizes = [r["count"] for r in df.groupBy(place.alias("r")).count().collect()]
+    sizes = [r["count"] for r in ordered.dealt(df, ["k", "at", "tag"], ranges=16).groupBy("_range").count().collect()]
     assert len(sizes) == 16 and max(sizes) < 3000 / 16 * 2
     got = ordered.numbered(df, ["k", "at", "tag"], "n").withColumn("m", F.row_number().over(Window.orderBy("k", "at", "tag")))
     assert got.where("n <> m").count() == 0 and got.count() == 3000
 
 
+def test_many_ranges_of_seven_columns(spark):
+    """The plan doesn't grow with the ranges, and the numbers are those of one sort."""
+    from pyspark.sql.window import Window
+
+    order = ["a", "b", "c", "d", "e", "f", "id"]
+    df = spark.range(20_000).select(F.lit(1).alias("a"), (F.col("id") % 2).alias("b"), F.when(F.col("id") % 5 > 0, F.col("id") % 5 / 3.0).alias("c"), F.concat(F.lit("x"), F.col("id") % 7).alias("d"), F.to_date(F.lit("2024-01-01")).alias("e"), (F.col("id") % 3 == 0).alias("f"), "id")
+    placed = ordered.dealt(df, order, ranges=1000)
+    assert placed.select("_range").distinct().count() > 900
+    nulls_last = [F.col(c).asc_nulls_last() for c in order]
+    got = ordered.numbered(df, order, "n", ranges=1000)
+    assert got.withColumn("m", F.row_number().over(Window.orderBy(*nulls_last))).where("n <> m").count() == 0 and got.count() == 20_000
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+
+
+@pytest.mark.parametrize("ranges", [1, 7, 64])
+def test_streaks_run_through_ranges(spark, ranges):
+    rng = random.Random(9)
+    data = [(i, rng.choice([None, True, True, True, True, False]) if i < 150 else True) for i in range(300)]
+    got = {r.i: r.streak for r in ordered.streaks(spark.createDataFrame(data, "i int, hit boolean"), ["i"], F.col("hit"), ranges=ranges).collect()}
+    run = 0
+    for i, hit in data:
+        run = run + 1 if hit else 0
+        assert got[i] == run
+    assert ordered.streaks(spark.createDataFrame([], "i int, hit boolean"), ["i"], F.col("hit")).count() == 0
+
+
 def test_the_open_shard_of_many_tables(spark):
     df = spark.createDataFrame([(19,), (20,), (21,)], "n int")
     for at_cap in (True, False):
