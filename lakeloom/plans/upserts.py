@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import dedup, layout, tags, upsert
 from ..sources import writers
 from ..streaming import jobs
+from ..streaming.tables import MergedTable
 from .registry import Tables, query
 
 SPEC = upsert.UpsertSpec("o_orderkey", ("o_orderstatus", "o_orderpriority"))
@@ -150,10 +151,10 @@ def sink_skip_when_clean(t: Tables) -> DataFrame:
     return actions.where("action in ('new', 'updated')").agg(F.count("*").alias("n_written")).withColumn("wrote", F.lit(wrote))
 
 
-def _streamed(orders: DataFrame, stored: DataFrame, batches: list[DataFrame]) -> jobs.VersionedTable:
+def _streamed(orders: DataFrame, stored: DataFrame, batches: list[DataFrame]) -> MergedTable:
     """``stored`` after each of the batches arrived as files and was merged, micro-batch by micro-batch."""
     spark, place = orders.sparkSession, writers.scratch(orders.sparkSession)
-    table = jobs.VersionedTable(spark, f"{place}/table", SPEC.key)
+    table = MergedTable(spark, f"{place}/table", SPEC.key)
     table.write(stored, 0)
     for n, fetched in enumerate(batches):
         fetched.write.mode("append").parquet(f"{place}/fetched")

@@ -1,4 +1,4 @@
-"""The incremental jobs as Structured Streaming: file streams in, a versioned table out."""
+"""The incremental jobs as Structured Streaming: file streams in, a merged table out."""
 
 from __future__ import annotations
 
@@ -10,96 +10,15 @@ from pyspark.sql import functions as F
 
 from ..functions import times
 from ..operators import dedup, upsert
+from .tables import MergedTable, listed
 
 
-def _folder(spark: SparkSession, path: str):
-    """Hadoop's file system and path object: any store that Spark reads."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
-
-
-def _listed(spark: SparkSession, path: str) -> list[str]:
-    fs, root = _folder(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(root)) if fs.exists(root) else []
-
-
-class VersionedTable:
-    """A parquet table in ``buckets`` of a key's hash; a version rewrites only the buckets that it touches.
-
-    Version n lies in ``v<n>/bucket=<b>``; ``manifest/v<n>`` says in which version each
-    bucket was last written, and is written when all its data are. No file is ever
-    written over while it can be read. A version is named after its batch, so a batch
-    that runs again after a failure writes the same version from the same
-    predecessor: the result is as if it had run once.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 16):
-        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
-
-    def bucket(self) -> Column:
-        """A null key has the bucket of its hash, like any other."""
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-
-    def versions(self) -> list[int]:
-        """Finished versions, oldest first."""
-        names = _listed(self.spark, f"{self.path}/manifest")
-        return sorted(int(n[1:]) for n in names if "_SUCCESS" in _listed(self.spark, f"{self.path}/manifest/{n}"))
-
-    def placed(self, version: int) -> dict[int, int]:
-        """The version in which each bucket was last written; one small row for each bucket."""
-        rows = self.spark.read.schema("bucket int, version long").json(f"{self.path}/manifest/v{version}").collect()
-        return {r["bucket"]: r["version"] for r in rows}
-
-    def _latest(self, before: int | None) -> int:
-        return max(v for v in self.versions() if before is None or v < before)
-
-    def read(self, before: int | None = None, some: list[int] | None = None) -> DataFrame:
-        """The latest finished version (below ``before``), or ``some`` of its buckets."""
-        version = self._latest(before)
-        places = [f"{self.path}/v{v}/bucket={b}" for b, v in sorted(self.placed(version).items()) if some is None or b in some]
-        schema = self.spark.read.json(f"{self.path}/schema", schema="ddl string").first()["ddl"]
-        return self.spark.read.schema(schema).parquet(*places) if places else self.spark.createDataFrame([], schema)
-
-    def write(self, df: DataFrame, version: int, some: list[int] | None = None) -> None:
-        """``df`` as the new content of ``some`` buckets (all of them, if not given); a bucket's rows are one file."""
-        if not _listed(self.spark, f"{self.path}/schema"):
-            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-            self.spark.createDataFrame([(ddl,)], "ddl string").coalesce(1).write.mode("overwrite").json(f"{self.path}/schema")
-        kept = {} if some is None else {b: v for b, v in self.placed(self._latest(version)).items() if b not in some}
-        df.withColumn("bucket", self.bucket()).repartition(self.buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/v{version}")
-        made = [int(n.split("=")[1]) for n in _listed(self.spark, f"{self.path}/v{version}") if n.startswith("bucket=")]
-        rows = [*kept.items(), *((b, version) for b in made)]
-        self.spark.createDataFrame(rows, "bucket int, version long").coalesce(1).write.mode("overwrite").json(f"{self.path}/manifest/v{version}")
-
-    def merge(self, batch: DataFrame, version: int, merged) -> None:
-        """``merged(stored, batch)`` for the buckets that the batch touches; the others are not read."""
-        some = sorted(r["b"] for r in batch.select(self.bucket().alias("b")).distinct().collect())  # ``buckets`` at most
-        if some:
-            self.write(merged(self.read(version, some), batch), version, some)
-
-    def compact(self, version: int, keep: int = 1) -> None:
-        """All buckets anew as ``version``; then all versions but the last ``keep`` go, with the data that only they need."""
-        self.write(self.read(version), version)
-        every = self.versions()
-        old, needed = every[:-keep], {(v, b) for n in every[-keep:] for b, v in self.placed(n).items()}
-        for n in old:
-            fs, root = _folder(self.spark, f"{self.path}/manifest/v{n}")
-            fs.delete(root, True)
-        for name in _listed(self.spark, self.path):
-            if name[0] == "v" and name[1:].isdigit() and int(name[1:]) < version:
-                held = {b for v, b in needed if v == int(name[1:])}
-                for part in _listed(self.spark, f"{self.path}/{name}") if held else ["."]:
-                    if part == "." or (part.startswith("bucket=") and int(part.split("=")[1]) not in held):
-                        fs, root = _folder(self.spark, f"{self.path}/{name}/{part}".removesuffix("/."))
-                        fs.delete(root, True)
-
-
-def upsert_stream(batches: DataFrame, table: VersionedTable, spec: upsert.UpsertSpec, order: list[str], checkpoint: str, once: bool = True, first: int = 1):
+def upsert_stream(batches: DataFrame, table: MergedTable, spec: upsert.UpsertSpec, order: list[str], checkpoint: str, once: bool = True, first: int = 1):
     """Merges a stream of fetched rows into ``table``, micro-batch by micro-batch, as versions from ``first``; an earlier one must be there. The last row of a key in a batch counts."""
 
     def merge(batch: DataFrame, number: int) -> None:
         latest = dedup.keep_last(batch, [spec.key], order)
-        table.merge(latest, number + first, lambda stored, new: upsert.apply_updates(stored, new, spec))
+        table.merge(latest, number + first)
 
     writer = batches.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 minutes")).start()
@@ -116,7 +35,7 @@ def walk_down(source: DataFrame, key: str, width: int, place: str, most_batches:
     span = source.agg(F.min(key).alias("least"), F.max(key).alias("most")).first()
     if span["least"] is None:
         return
-    stored = _listed(spark, f"{place}/cursor")
+    stored = listed(spark, f"{place}/cursor")
     cursor = spark.read.schema("at long").json(f"{place}/cursor/{min(stored, key=lambda n: int(n[2:]))}").first()["at"] if stored else span["most"] + 1
     done = 0
     while cursor > span["least"] and (most_batches is None or done < most_batches):

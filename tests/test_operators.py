@@ -13,6 +13,7 @@ from lakeloom.operators import conform, dedup, filters, joins, layout, measures,
 from lakeloom.plans import report
 from lakeloom.sources import readers, writers
 from lakeloom.streaming import jobs
+from lakeloom.streaming.tables import MergedTable
 
 POST = "id long, md5 string, tags array<string>, deleted boolean, score int, url string"
 SPEC = upsert.UpsertSpec("id", ("md5", "tags", "deleted"), ("tags",))
@@ -324,7 +325,7 @@ def test_report_renders(spark):
 def test_a_stream_of_files_merges_once(spark, tmp_path, stored):
     batch = spark.createDataFrame([(1, "z", None, None, 1, None), (1, "y", None, None, 2, None), (6, "n", None, None, 1, None)], POST)
     batch.write.parquet(str(tmp_path / "in"))
-    table = jobs.VersionedTable(spark, str(tmp_path / "table"), "id", 4)
+    table = MergedTable(spark, str(tmp_path / "table"), "id")
     table.write(stored, 0)
     for _ in range(2):  # the second run finds nothing new
         stream = spark.readStream.schema(batch.schema).parquet(str(tmp_path / "in"))
@@ -332,24 +333,62 @@ def test_a_stream_of_files_merges_once(spark, tmp_path, stored):
     assert {r.id: r.md5 for r in table.read().collect()} == {1: "y", 2: "b", 3: None, 4: "d", 6: "n"}
 
 
-def test_a_version_rewrites_only_its_buckets_and_old_ones_go(spark, tmp_path):
-    rows_ = spark.createDataFrame([(i, "a") for i in range(100)] + [(None, "n")], "id long, mark string")
-    table = jobs.VersionedTable(spark, str(tmp_path / "t"), "id", 8)
-    table.write(rows_, 0)
-    change = spark.createDataFrame([(3, "b")], "id long, mark string")
+def test_versions_stay_until_they_go(spark, tmp_path):
+    rows_ = spark.createDataFrame([(i, "a", i) for i in range(100)] + [(None, "n", 1)], "id long, mark string, n long")
+    table = MergedTable(spark, str(tmp_path / "t"), "id")
+    table.write(rows_, 0, bits=3)
+    change = spark.createDataFrame([(3, "b", None), (200, "new", 5), (None, "m", 2)], "id long, mark string, n int")
     for version in (1, 2, 2):  # the last one runs again
-        table.merge(change, version, lambda stored, new: stored.join(new.select("id"), "id", "left_anti").unionByName(new))
+        table.merge(change, version)
     assert table.versions() == [0, 1, 2]
-    assert sorted(table.placed(2).values()).count(2) == 1 and 0 in table.placed(2).values()
-    content = lambda: {r.id: r.mark for r in table.read().collect()}
-    expected = {**{i: "a" for i in range(100)}, 3: "b", None: "n"}
-    assert content() == expected and table.read(before=1).where("mark = 'b'").count() == 0
+    content = lambda v=None: sorted(map(tuple, table.read(v).collect()), key=repr)
+    expected = sorted([*((i, "b" if i == 3 else "a", i) for i in range(100)), (200, "new", 5), (None, "n", 1), (None, "m", 2), (None, "m", 2)], key=repr)
+    assert content() == expected and table.read(0).where("mark = 'b'").count() == 0 and table.read(0).count() == 101
+    assert sum(p["kind"] == "part" and p["version"] > 0 for p in table.parts(2)) == 0  # nothing stored was written again
     table.compact(3, keep=2)
-    assert table.versions() == [2, 3] and content() == expected and table.read(before=3).count() == 101
+    assert table.versions() == [2, 3] and content() == content(2) == expected
+    assert not any(p["kind"] == "batch" for p in table.parts(3))
     table.compact(4)
     assert table.versions() == [4] and content() == expected
-    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["manifest", "schema", "v4"]
-    assert all(len(list(b.glob("*.parquet"))) == 1 for b in (tmp_path / "t" / "v4").glob("bucket=*"))
+
+
+def test_random_merges_equal_one_after_another(spark, tmp_path):
+    """Batches of random keys write little, parts are split and joined to stay within bounds, and the rows are those of plain upserts."""
+    rng = random.Random(3)
+    schema = "id long, mark string, n long, body string"
+    stored = {i: (i, "a", None, "x" * 200) for i in range(2000)}
+    table = MergedTable(spark, str(tmp_path / "t"), "id", part_bytes=8_000, most_batches=2)
+    table.write(spark.createDataFrame(list(stored.values()), schema), 0, bits=1)
+    size = lambda v: sum(p["bytes"] for p in table.parts(v) if p["version"] == v)
+    for version in range(1, 9):
+        some = {i: (i, rng.choice([None, f"m{version}"]), rng.choice([None, version]), "".join(rng.choices("abcdefgh", k=300))) for i in rng.sample(range(4000), 60)}
+        table.merge(spark.createDataFrame(list(some.values()), schema), version)
+        for i, new in some.items():
+            stored[i] = tuple(n if n is not None else o for n, o in zip(new, stored.get(i, new), strict=True))
+        if version < 3:
+            assert all(p["kind"] == "batch" for p in table.parts(version) if p["version"] == version) and size(version) < 60 * 300 * 3
+        assert sorted(map(tuple, table.read().collect()), key=repr) == sorted(stored.values(), key=repr)
+    assert len({(p["bits"], p["slot"]) for p in table.parts(8) if p["kind"] == "part"}) > 2
+    assert len([p for p in table.parts(8) if p["kind"] == "batch"]) <= 5
+    old = table.read(3)
+    before = sorted(map(tuple, old.collect()), key=repr)
+    table.compact(9, keep=10)
+    assert sorted(map(tuple, table.read(3).collect()), key=repr) == before
+    held = [p["bytes"] for p in table.parts(9) if p["kind"] == "part"]
+    assert sum(held) / len(held) <= 2 * 8_000 and max(held) < 6 * 8_000
+    small = MergedTable(spark, str(tmp_path / "t"), "id", part_bytes=1 << 24)
+    small.compact(10)
+    assert len(small.parts(10)) == 1 and sorted(map(tuple, small.read().collect()), key=repr) == sorted(stored.values(), key=repr)
+
+
+def test_an_empty_table_takes_batches(spark, tmp_path):
+    table = MergedTable(spark, str(tmp_path / "t"), "id")
+    table.write(spark.createDataFrame([], "id long, mark string"), 0)
+    table.merge(spark.createDataFrame([], "id long, mark string"), 1)
+    table.merge(spark.createDataFrame([(1, "a")], "id long, mark string"), 2)
+    assert [tuple(r) for r in table.read().collect()] == [(1, "a")]
+    table.compact(3)
+    assert [tuple(r) for r in table.read().collect()] == [(1, "a")]
 
 
 def test_a_run_that_stops_goes_on_from_its_cursor(spark, tmp_path):
