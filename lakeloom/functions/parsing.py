@@ -230,13 +230,14 @@ class _Markdown(HTMLParser):
             self.out.append("\n")
 
 
-@F.pandas_udf(TEXT)
-def html_to_markdown(body: pd.Series, base: pd.Series) -> pd.Series:
+def markdown_of(text: str, base: str) -> str:
     """Markdown with absolute links; runs of blank lines become one."""
+    p = _Markdown(base)
+    p.feed(text)
+    return re.sub(r"\n{3,}", "\n\n", "".join(p.out)).strip()
 
-    def convert(text, at):
-        p = _Markdown(at or "")
-        p.feed(text or "")
-        return re.sub(r"\n{3,}", "\n\n", "".join(p.out)).strip()
 
-    return pd.Series([None if t is None else convert(t, b) for t, b in zip(body, base, strict=True)])
+@F.pandas_udf(TEXT)
+def html_to_markdown(body: pd.Series, base: pd.Series) -> pd.Series:
+    """``markdown_of`` each body."""
+    return pd.Series([None if t is None else markdown_of(t, b or "") for t, b in zip(body, base, strict=True)])

@@ -122,8 +122,8 @@ def scan_html_table(t: Tables) -> DataFrame:
     return rows.select("n_nationkey", "pos", F.col("cells")["Alias"].alias("alias"), F.col("cells")["To"].alias("target"))
 
 
-@query("scan_html_entity", "SELECT p_partkey, p_name AS title, CASE WHEN p_size % 2 = 0 THEN 'c' || p_size ELSE 'unknown' END AS category, CAST(p_partkey % 3 AS INTEGER) AS n_images, 'a & b|' || p_type AS items FROM part")
-def scan_html_entity(t: Tables) -> DataFrame:
+@query("scan_html_outline", "SELECT p_partkey, p_name AS title, CASE WHEN p_size % 2 = 0 THEN 'c' || p_size ELSE 'unknown' END AS category, CAST(p_partkey % 3 AS INTEGER) AS n_images, 'a & b|' || p_type AS items FROM part")
+def scan_html_outline(t: Tables) -> DataFrame:
     """Pages of the kind that describes one thing: a heading, a class of the second one, images, list items."""
     kind = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("c"), "p_size")).otherwise("x y")
     images = F.array_join(F.transform(F.slice(F.array(F.lit(1), F.lit(2)), F.lit(1), (F.col("p_partkey") % 3).cast("int")), lambda i: F.concat(F.lit('<img src="/'), i, F.lit('.png">'))), "")
@@ -132,6 +132,47 @@ def scan_html_entity(t: Tables) -> DataFrame:
     return found.select("p_partkey", "title", "category", F.size("images").alias("n_images"), F.array_join("items", "|").alias("items"))
 
 
+#: By the part: which sections its page has, and what stands in them.
+ENTITY_SQL = """
+SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN p_name || ' <&>' ELSE p_name END AS name,
+  CASE WHEN p_partkey % 5 = 1 THEN 'unknown' ELSE 'kind' || p_size END AS category, CASE WHEN p_partkey % 5 = 1 THEN 'two kinds' ELSE 'kind' || p_size END AS raw_category,
+  CASE WHEN p_partkey % 3 < 2 THEN CAST(p_partkey AS BIGINT) END AS cover_id, CASE WHEN p_partkey % 3 <> 1 THEN 'https://x.example/img/' || p_partkey || '.jpg' END AS cover_url,
+  CASE WHEN p_partkey % 6 = 0 THEN '' ELSE 'web=https://y.example/' || p_partkey || ';chat=https://x.example/chat' END AS socials,
+  CASE WHEN p_partkey % 6 = 3 THEN '' ELSE 'About **' || p_type || '** & [more](https://x.example/e/more).' END AS description_md,
+  'n' || p_size || '=en:true;' || CASE WHEN p_partkey % 2 = 0 THEN 'second=en:true;' ELSE '' END || 'other=also:false' AS aliases, 'en=n' || p_size AS langs,
+  CASE WHEN p_partkey % 4 = 1 THEN '' ELSE 'a b;' || p_size || 'é' END AS related_tags, CASE WHEN p_partkey % 4 = 2 THEN 'coat' ELSE '' END AS outfit_tags
+FROM part WHERE p_partkey % 11 <> 0"""
+
+
+@query("scan_html_entity", ENTITY_SQL)
+def scan_html_entity(t: Tables) -> DataFrame:
+    """Pages with every section, without some, with a blank or no main one; lists and elements that nothing closes."""
+    k, lit = F.col("p_partkey"), F.lit
+    part = lambda condition, *texts: F.when(condition, F.concat(*(lit(x) if isinstance(x, str) else x for x in texts))).otherwise("")
+    name = F.when(k % 4 == 0, F.concat(lit('<h1><a id="copy-link" data-value="'), "p_name", lit(' &lt;&amp;&gt;">copy</a><span>not this</span></h1>'))).otherwise(F.concat(lit("<h1>The <span> "), "p_name", lit(" </span></h1>")))
+    main = F.when(k % 22 == 11, lit('<section id="tag-info-wrapper">  </section>')).when(k % 22 == 0, lit("")).otherwise(
+        F.concat(lit('<section class="x" id="tag-info-wrapper"><h2 class="'), F.when(k % 5 == 1, "two kinds").otherwise(F.concat(lit(" kind"), "p_size")), lit('">Of a kind</h2><p>unclosed'))
+    )
+    body = F.concat(
+        lit('<html><body><div id="content">'), name, lit("</b></div>"), main, lit("</section>"),
+        part(k % 3 < 2, '<div id="tag-cover-wrapper"><a href="/full/', k, '?x=1">'), part(k % 3 != 1, '<img id="tag-cover" src="/img/', k, '.jpg">'), part(k % 3 < 2, "</a></div>"),
+        part(k % 6 != 0, '<div id="socials"><a href="https://y.example/', k, '"><s class="icon web"></s></a><p><a href="/no"><s class="deep"></s></a></p><a href="/none">no mark</a><a href="/chat"><s class="chat"></s></a></div>'),
+        part(k % 6 != 3, '<div id="description"><p>About <b>', F.col("p_type"), '</b> &amp; <a href="more">more</a>.</p></div>'),
+        lit('<div id="aliases"><ul><li class="language"><i> en </i><span data-value="n'), F.col("p_size"), lit('">shown</span>'),
+        part(k % 2 == 0, '<li class="x language"><i>en</i><span data-value="second"></span>'), lit('<li><i>no class</i><span data-value="lost"></span><li class="plain"><i>also</i><span data-value="other"></ul></div>'),
+        part(k % 4 != 1, '<ul id="tags"><li><a href="/a+b">A</a></li><li class="more"><a href="/rest">…</a></li><li><a href="https://z.example/q/', F.col("p_size"), '%C3%A9?s=1">B</a></li></ul>'),
+        part(k % 4 == 2, '<ul id="outfits"><li><a href="coat">C</a></ul>'),
+    )
+    found = readers.entity_pages(t("part").select("p_partkey", body.alias("body"), lit("https://x.example/e/page").alias("url")), "body", "url", ["p_partkey"])
+    listed = lambda column, e: F.array_join(F.transform(column, e), ";")
+    return found.select(
+        "p_partkey", "name", "category", "raw_category", F.col("cover.image_id").alias("cover_id"), F.col("cover.image_url").alias("cover_url"),
+        listed("socials", lambda x: F.concat(x["type"], lit("="), x["url"])).alias("socials"), "description_md",
+        listed("aliases", lambda x: F.concat(x["name"], lit("="), x["type"], lit(":"), x["is_language"].cast("string"))).alias("aliases"),
+        listed(F.map_entries("langs"), lambda x: F.concat(x["key"], lit("="), x["value"])).alias("langs"), F.array_join("related_tags", ";").alias("related_tags"), F.array_join("outfit_tags", ";").alias("outfit_tags"),
+    )
+
+
 @query("scan_html_links", "SELECT n_nationkey, CAST(i AS INTEGER) AS pos, CASE i WHEN 0 THEN 'http://x.org/a/n/' || n_nationkey WHEN 1 THEN 'http://x.org/top?q=1&r=2' ELSE 'https://y.org/' || n_regionkey END AS href, CASE i WHEN 0 THEN n_name WHEN 1 THEN 'a & b' ELSE '' END AS label FROM nation, range(3) t(i)")
 def scan_html_links(t: Tables) -> DataFrame:
     """Relative, rooted and whole links, with marks inside labels, an anchor without a target between them."""

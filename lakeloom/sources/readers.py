@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import coerce, parsing, text
+from ..functions import coerce, pages, parsing, text
 
 
 def parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -71,11 +71,11 @@ def map_key_ids(bodies: DataFrame, body: str, path: str = "$.files") -> DataFram
     return bodies.select(name).select(F.regexp_extract("name", r"(\d+)\.[^./]+$", 1).try_cast("long").alias("id")).where("id is not null").distinct()
 
 
-def json_pages(pages: DataFrame, body: str, record: str, field: str | None = None) -> DataFrame:
+def json_pages(bodies: DataFrame, body: str, record: str, field: str | None = None) -> DataFrame:
     """Records of API pages: a JSON list, or an object with the list under ``field``; unreadable pages give none."""
     kind = f"array<{record}>" if field is None else f"struct<`{field}`: array<{record}>>"
     parsed = F.from_json(F.col(body), kind)
-    return pages.select(F.explode(parsed if field is None else parsed.getField(field)).alias("_r")).select("_r.*")
+    return bodies.select(F.explode(parsed if field is None else parsed.getField(field)).alias("_r")).select("_r.*")
 
 
 def lenient_objects(bodies: DataFrame, body: str) -> DataFrame:
@@ -102,6 +102,12 @@ def html_entities(pages: DataFrame, body: str, keys: list[str]) -> DataFrame:
     return pages.select(*keys, parsing.html_entity(F.col(body)).alias("_e")).select(*keys, "_e.*")
 
 
+def entity_pages(bodies: DataFrame, body: str, url: str, keys: list[str]) -> DataFrame:
+    """The nested value of each entity page (see ``pages.PAGE``), links made whole by the page's ``url``; pages without one are left out."""
+    read = bodies.select(*keys, pages.html_page(F.col(body), F.col(url)).alias("_e")).select(*keys, "_e.*")
+    return read.where(F.col("category").isNotNull())
+
+
 def html_numbers(pages: DataFrame, body: str, keys: list[str]) -> DataFrame:
     """A row for each ``"id": N,`` in a body."""
     return pages.select(*keys, F.explode(text.html_ids(F.col(body))).alias("id"))

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.functions import coerce, outcomes, parsing, text, times
+from lakeloom.functions import coerce, outcomes, pages, parsing, text, times
 from lakeloom.operators import conform, dedup, filters, joins, layout, measures, ordered, tags, upsert
 from lakeloom.plans import report
 from lakeloom.sources import readers, writers
@@ -415,3 +415,24 @@ def test_streams_of_windows_dedup_and_rates(spark, tmp_path):
     assert sum(r.n for r in run(jobs.windowed_counts(read(), "ts", "host"), "windows", "complete")) == 24
     assert len(run(jobs.once_in_run(read(), "id", "ts"), "once", "append")) == 12
     assert 0.5 <= run(jobs.adapted_rates(read(), "host", "ok", "at"), "rates", "update")[0].rate <= 64
+
+
+def test_pages_as_trees():
+    page = pages.tree('<div id="a" class="x y"><p>one<p>two <b>bold</b></div></i><ul><li>1<li class="more">2<img src="s"></ul><br/>tail')
+    assert [e.tag for e in page.elements()] == ["div", "p", "p", "b", "ul", "li", "li", "img", "br"]
+    assert [e.text() for e in page.find("div.x.y#a > p")] == ["one", "two bold"]
+    assert page.find("div b") and not page.find("div > b") and page.first("li.more").find("img")[0].attrs == {"src": "s"}
+    assert page.first("div").inner_html() == "<p>one</p><p>two <b>bold</b></p>" and page.first("none") is None
+    assert pages.tree('<p title="&lt;a&gt;">x &amp; &lt;y&gt;</p>').inner_html() == '<p title="&lt;a&gt;">x &amp; &lt;y&gt;</p>'
+    deep = pages.tree("<div>" * 20_000 + "x")
+    assert deep.text() == "x" and sum(1 for _ in deep.elements()) == 20_000 and deep.inner_html().count("</div>") == 20_000
+
+
+def test_entity_pages_with_missing_parts():
+    base = "https://x.example/e/"
+    assert pages.entity_of(None, base) is None and pages.entity_of("", base) is None
+    assert pages.entity_of('<section id="tag-info-wrapper"> </section>', base) is None
+    bare = pages.entity_of('<section id="tag-info-wrapper">x</section>', base)
+    assert bare == (None, "unknown", None, (None, None), [], "", [], {}, [], [])
+    odd = pages.entity_of('<section id="tag-info-wrapper"><h2 class="a,b">x</h2></section><div id="tag-cover-wrapper"><a href="/no/number">y</a></div><ul id="tags"><li>no link</li><li><a>none</a></li><li><a href="http://[">bad</a></li></ul><div id="aliases"><ul><li class="language">z</li></ul></div>', base)
+    assert odd[1:4] == ("unknown", "a,b", (None, None)) and odd[6:] == ([(None, "", True)], {"": None}, [], [])
