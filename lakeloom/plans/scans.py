@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import layout, measures
-from ..sources import readers, writers
+from ..sources import archives, readers, writers
 from ..streaming import jobs
 from .functions import VOLUME_PATH
 from .registry import QUERIES, Tables, query
@@ -199,32 +199,36 @@ def scan_html_ids(t: Tables) -> DataFrame:
     return readers.html_numbers(t("pages").select("page_id", body.alias("body")), "body", ["page_id"])
 
 
-@query("scan_tar_json", "SELECT n_nationkey AS id, n_name AS name FROM nation")
+@query("scan_tar_json", "SELECT o_orderkey AS id, o_orderpriority AS name FROM orders")
 def scan_tar_json(t: Tables) -> DataFrame:
+    """Archives of a JSON document for each order, read back member by member."""
     spark, place = _place(t)
-    packed = t("nation").withColumn("archive", F.col("n_nationkey") % 3).groupBy("archive").applyInPandas(_as_tar, "archive int, content binary")
-    packed.write.parquet(f"{place}/packed")
-    return readers.tar_members(spark.read.parquet(f"{place}/packed").select(F.col("archive").cast("string").alias("path"), "content")).select(
-        F.get_json_object("body", "$.id").cast("int").alias("id"), F.get_json_object("body", "$.name").alias("name")
-    )
+    _archived(t, place, F.lit(True))
+    return _records(archives.tar_files(spark, place))
+
 
+def _archived(t: Tables, place: str, which: Column) -> None:
+    """Tar files with a document for each of the orders that ``which`` names, 1000 ids a file."""
+    body = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name")))
+    rows = t("orders").where(which).select(F.floor(F.col("o_orderkey") / 1000).alias("volume"), "o_orderkey", F.concat("o_orderkey", F.lit(".json")).alias("file"), body.alias("body"))
+    archives.write_volumes(rows, place, "o_orderkey", "file", "body")
 
-def _as_tar(rows):
-    """The archives of the test: one JSON member for each row."""
-    import io
-    import json
-    import tarfile
 
-    import pandas as pd
+def _records(members: DataFrame) -> DataFrame:
+    body = F.col("content").cast("string")
+    return members.select(F.get_json_object(body, "$.id").cast("long").alias("id"), F.get_json_object(body, "$.name").alias("name"))
 
-    out = io.BytesIO()
-    with tarfile.open(fileobj=out, mode="w") as tar:
-        for r in rows.itertuples():
-            body = json.dumps({"id": int(r.n_nationkey), "name": r.n_name}).encode()
-            info = tarfile.TarInfo(f"{r.n_nationkey}.json")
-            info.size = len(body)
-            tar.addfile(info, io.BytesIO(body))
-    return pd.DataFrame({"archive": [rows["archive"].iloc[0]], "content": [out.getvalue()]})
+
+@query("str_archive_skip", "SELECT o_orderkey AS id, o_orderpriority AS name FROM orders")
+def str_archive_skip(t: Tables) -> DataFrame:
+    """Two runs of a stream of archives: the second reads those that are new."""
+    spark, place = _place(t)
+    half = F.floor(F.col("o_orderkey") / 1000) % 2
+    for part in range(2):
+        _archived(t, f"{place}/in", half == part)
+        read = _records(archives.tar_stream(spark, f"{place}/in"))
+        read.writeStream.format("parquet").option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start(f"{place}/out").awaitTermination()
+    return spark.read.schema("id long, name string").parquet(f"{place}/out")
 
 
 @query("scan_generator", "SELECT r AS doc_id FROM (SELECT unnest(range(min(doc_id), max(doc_id) + 1)) AS r FROM labels) WHERE r NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
@@ -279,8 +283,29 @@ r AS (
 SELECT volume, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes, {path} AS path FROM r GROUP BY volume"""
 
 
-@query("sink_volumes", VOLUMES_SQL.format(path=VOLUME_PATH))
+#: The payload's own sizes; a volume's files as they must come back from it.
+PAYLOAD_SQL = VOLUMES_SQL.replace("n_chars AS size", "strlen(coalesce(text, '')) AS size, sha256(coalesce(text, '')) AS sha").replace("SELECT volume, count(*) AS files", "SELECT volume, count(*) AS files, count(*) AS n_intact, sha256(string_agg(d.sha, '' ORDER BY i)) AS digest").replace("CAST(sum(size) AS BIGINT)", "CAST(sum(r.size) AS BIGINT)").replace("FROM r GROUP BY", "FROM r JOIN d USING (i) GROUP BY")
+
+
+@query("sink_volumes", PAYLOAD_SQL.format(path=VOLUME_PATH))
 def sink_volumes(t: Tables) -> DataFrame:
+    """The texts packed into tar files; every file read back by its offset and held against its digest."""
+    spark, place = _place(t)
+    docs = t("documents").select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    packed = layout.pack_volumes(docs, "doc_id", "size", 200_000, 100).withColumn("file", F.concat("doc_id", F.lit(".txt")))
+    manifest = archives.write_volumes(packed, place, "doc_id", "file", "text")
+    read = archives.fetched(archives.volume_files(spark, place), place)
+    number = F.regexp_extract("name", "^[0-9]+", 0).cast("long")
+    back = read.groupBy("volume").agg(
+        F.count_if((F.sha2("content", 256) == F.col("sha256")) & (F.length("content") == F.col("size"))).alias("n_intact"),
+        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(number, "sha256"))), lambda x: x["sha256"]), "").cast("binary"), 256).alias("digest"),
+    )  # a volume has 100 files at most
+    return manifest.join(back, "volume")
+
+
+@query("sink_volume_plan", VOLUMES_SQL.format(path=VOLUME_PATH))
+def sink_volume_plan(t: Tables) -> DataFrame:
+    """Only the plan: which file goes where."""
     _, place = _place(t)
     packed = layout.pack_volumes(t("documents").select("doc_id", "n_chars"), "doc_id", "n_chars", 200_000, 100)
     return writers.write_volumes(packed, place, "doc_id", "n_chars")
