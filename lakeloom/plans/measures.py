@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import conform, dedup, layout, measures, ordered, tags
+from ..sources import writers
+from ..streaming import states
 from . import report
 from .registry import Tables, query
 
@@ -164,7 +166,21 @@ def win_empty_streak(t: Tables) -> DataFrame:
 
 @query("str_stop_rule", f"SELECT min(page) AS stop_at FROM ({STREAK_SQL.format(most=1)}) WHERE streak >= 3")
 def str_stop_rule(t: Tables) -> DataFrame:
-    """The first page at which three pages in a row had at most one new user."""
+    """A walk over pages that arrive in five parts, a run of the stream for each, until three pages in a row had at most one new user."""
+    spark, pages = t("events").sparkSession, _pages(t).withColumn("walk", F.lit("w"))
+    place, session = writers.scratch(spark), states.stateful_session(spark)
+    top = pages.agg(F.max("page").alias("top"))  # one row
+    dealt = pages.join(F.broadcast(top)).withColumn("part", F.floor(F.col("page") * 5 / (F.col("top") + 1)))
+    for part in range(5):
+        dealt.where(F.col("part") == part).drop("part", "top").coalesce(1).write.mode("append").parquet(f"{place}/in")
+        if states.walk_until_empty(session.readStream.schema(pages.schema).parquet(f"{place}/in"), "walk", "page", "n_new", place, 3, 1):
+            break
+    return spark.read.schema("page long, stop boolean").parquet(f"{place}/out").where("stop").agg(F.min("page").alias("stop_at"))
+
+
+@query("win_stop_rule", f"SELECT min(page) AS stop_at FROM ({STREAK_SQL.format(most=1)}) WHERE streak >= 3")
+def win_stop_rule(t: Tables) -> DataFrame:
+    """The same over all pages in one go."""
     return measures.empty_streaks(_pages(t), "page", "n_new", 1).where("streak >= 3").agg(F.min("page").alias("stop_at"))
 
 

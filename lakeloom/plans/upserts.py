@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedup, layout, tags, upsert
 from ..sources import writers
-from ..streaming import jobs
+from ..streaming import jobs, states
 from ..streaming.tables import MergedTable
 from .registry import Tables, query
 
@@ -265,11 +265,47 @@ def str_dedup_in_run(t: Tables) -> DataFrame:
     return jobs.through_files(e, writers.scratch(e.sparkSession), lambda stream: jobs.once_in_run(stream, "user_id", "ts", "3650 days").select("user_id"))
 
 
-@query("str_failed_retry", "SELECT doc_id, CAST(CASE WHEN doc_id % 10 = 0 THEN 0 ELSE 1 END AS INTEGER) AS priority FROM labels UNION SELECT doc_id, 0 FROM documents WHERE doc_id % 10 = 0")
+#: Every document is fetched on the first day, and those with a label again on the second; each tenth fails at first.
+LAST = """
+o AS (SELECT doc_id, 1 AS day, doc_id % 10 <> 0 AS ok FROM documents WHERE doc_id IS NOT NULL UNION ALL SELECT doc_id, 2, quality = 1 FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL),
+l AS (SELECT doc_id, CAST(count(*) FILTER (WHERE NOT ok) AS INTEGER) AS attempts, arg_max(ok, day) AS ok, max(day) AS day FROM o GROUP BY doc_id)"""
+DAY = 86_400
+
+
+def _letters(t: Tables) -> DataFrame:
+    """The two days' outcomes, and a row of much later that lets time pass, as a stream of files."""
+    spark, place = t("region").sparkSession, writers.scratch(t("region").sparkSession)
+    first = t("documents").select("doc_id", (F.col("doc_id") % 10 != 0).alias("ok"), F.lit("2024-01-01").cast("timestamp").alias("at"))
+    second = t("labels").select("doc_id", (F.col("quality") == 1).alias("ok"), F.lit("2024-01-02").cast("timestamp").alias("at"))
+    later = t("region").limit(1).select(F.lit(-1).cast("long").alias("doc_id"), F.lit(True).alias("ok"), F.lit("2024-01-08").cast("timestamp").alias("at"))
+    session = states.stateful_session(spark)
+    for rows in (first, second, later):
+        rows.coalesce(1).write.mode("append").parquet(f"{place}/in")
+        stream = session.readStream.schema(rows.schema).parquet(f"{place}/in")
+        made = states.dead_letters(stream, "doc_id", "ok", "at", wait=2 * DAY, expire=30 * DAY)
+        made.writeStream.format("parquet").option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start(f"{place}/out").awaitTermination()
+    return spark.read.schema(f"doc_id long, {states.LETTER}").parquet(f"{place}/out")
+
+
+@query("str_failed_retry", f"WITH {LAST} SELECT doc_id, CAST(0 AS INTEGER) AS priority FROM l WHERE NOT ok UNION ALL SELECT doc_id, 1 FROM l WHERE ok AND doc_id % 7 = 0")
 def str_failed_retry(t: Tables) -> DataFrame:
-    return jobs.retry_first(t("documents").where("doc_id % 10 = 0"), t("labels"), "doc_id")
+    """What to fetch in the end: failures whose wait is over before others (each seventh document)."""
+    due = states.still_failed(_letters(t), "doc_id").where("due IS NOT NULL")
+    return jobs.retry_first(due, t("documents").where("doc_id % 7 = 0").select("doc_id").union(t("labels").where("doc_id % 7 = 0 AND quality IS NOT NULL").select("doc_id")), "doc_id")
 
 
-@query("str_failed_kept", "SELECT doc_id FROM documents WHERE doc_id % 10 = 0 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1) UNION SELECT doc_id FROM labels WHERE quality <> 1")
+@query("str_failed_kept", f"WITH {LAST} SELECT doc_id, attempts, CAST(epoch_ms(TIMESTAMP '2024-01-01' + to_days(day - 1) + to_days(CASE attempts WHEN 1 THEN 2 ELSE 4 END)) AS BIGINT) AS due FROM l WHERE NOT ok")
 def str_failed_kept(t: Tables) -> DataFrame:
+    """The dead letters after all outcomes, and when each was due; the wait doubles with the second failure."""
+    return states.still_failed(_letters(t), "doc_id")
+
+
+@query("join_failed_first", "SELECT doc_id, CAST(CASE WHEN doc_id % 10 = 0 THEN 0 ELSE 1 END AS INTEGER) AS priority FROM labels UNION SELECT doc_id, 0 FROM documents WHERE doc_id % 10 = 0")
+def join_failed_first(t: Tables) -> DataFrame:
+    """The same of two tables, in one go."""
+    return jobs.retry_first(t("documents").where("doc_id % 10 = 0"), t("labels"), "doc_id")
+
+
+@query("join_failed_kept", "SELECT doc_id FROM documents WHERE doc_id % 10 = 0 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1) UNION SELECT doc_id FROM labels WHERE quality <> 1")
+def join_failed_kept(t: Tables) -> DataFrame:
     return jobs.still_failed(t("documents").where("doc_id % 10 = 0"), t("labels"), "doc_id", F.col("quality") == 1)
