@@ -41,6 +41,8 @@ from .common import checkpointed, table
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 #: Distinct words that a task holds before it hands on their counts, and their code points.
 HELD_WORDS, HELD_CHARS = 200_000, 16_000_000
+#: Prefixes that are broadcast at most.
+SENT_PREFIXES = 200_000
 
 
 def vocabulary(docs: DataFrame, least_length: int = 7, least_n: int = 2, delete_one_in: int = 31) -> DataFrame:
@@ -139,12 +141,14 @@ def _cut(words: DataFrame, part_words: int) -> DataFrame:
     while True:
         prefix = F.substring("word", 1, depth)
         longer = F.length("word") > depth
-        heavy = open_to.where(longer).groupBy(prefix.alias("_prefix")).count().where(F.col("count") > part_words).select("_prefix")
-        flagged = checkpointed(open_to.join(heavy, longer & (prefix == F.col("_prefix")), "left"))
+        heavy = checkpointed(open_to.where(longer).groupBy(prefix.alias("_prefix")).count().where(F.col("count") > part_words).select("_prefix"))
+        n = heavy.count()
+        if not n:
+            return functools.reduce(DataFrame.unionByName, [*done, open_to.withColumn("depth", F.lit(depth))])
+        # Many words have one prefix, so they stay where they are while the heavy prefixes are few enough to send.
+        flagged = checkpointed(open_to.join(F.broadcast(heavy) if n <= SENT_PREFIXES else heavy, longer & (prefix == F.col("_prefix")), "left"))
         done.append(flagged.where("_prefix IS NULL").select(*words.columns, F.lit(depth).alias("depth")))
         open_to, depth = flagged.where("_prefix IS NOT NULL").select(*words.columns), depth + 1
-        if open_to.isEmpty():
-            return functools.reduce(DataFrame.unionByName, done)
 
 
 def near_words(words: DataFrame, part_words: int = 4000) -> DataFrame:
