@@ -101,3 +101,21 @@ def exploded_attachments(posts: DataFrame, keys: list[str], files: str) -> DataF
     from .dedup import nested_first
 
     return posts.select(*keys, F.posexplode(nested_first(F.col(files), "path")).alias("pos", "_f")).select(*keys, "pos", "_f.*")
+
+
+def pivoted_map(df: DataFrame, column: str, prefix: str, most: int = 500) -> DataFrame:
+    """``df`` with a text column for each key of its map ``column``, in order of the keys, ``''`` where a row lacks it.
+
+    The keys are looked up first. More than ``most`` of them are an error: they would be
+    data, not columns. Keys that differ only in case make one column, the first non-null
+    of their values; a null map has no keys.
+    """
+    rows = df.select(F.explode(F.map_keys(column)).alias("key")).distinct().orderBy("key").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} keys in {column}")
+    named: dict[str, list[str]] = {}
+    for r in rows:
+        named.setdefault(r["key"].lower(), []).append(r["key"])
+    value = lambda keys: F.coalesce(*(F.try_element_at(column, F.lit(k)) for k in keys), F.lit(""))
+    kept = [c for c in df.columns if c != column and c.lower() not in {f"{prefix}{k}".lower() for k in named}]
+    return df.select(*kept, *(value(keys).alias(f"{prefix}{keys[0]}") for keys in named.values()))

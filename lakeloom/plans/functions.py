@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import coerce, outcomes, parsing, text, times
-from ..operators import upsert
+from ..operators import conform, upsert
 from .registry import Tables, query
 
 
@@ -187,10 +187,15 @@ def fn_normalise_value(t: Tables) -> DataFrame:
     return both.select("p_partkey", (F.col("signature") == F.col("again")).alias("same"))
 
 
-@query("fn_tag_lang_pivot", "SELECT source, coalesce(min(lang) FILTER (WHERE lang = 'en'), '') AS lang_en, coalesce(min(lang) FILTER (WHERE lang = 'fr'), '') AS lang_fr FROM documents GROUP BY source")
+LANGS = ("de", "en", "es", "fr")
+
+
+@query("fn_tag_lang_pivot", "WITH m AS (SELECT source, lang, lang || ':' || min(doc_id) AS name FROM documents WHERE lang IS NOT NULL GROUP BY source, lang) SELECT source, " + ", ".join(f"coalesce(min(name) FILTER (WHERE lang = '{x}'), '') AS lang_{x}" for x in LANGS) + " FROM m GROUP BY source")
 def fn_tag_lang_pivot(t: Tables) -> DataFrame:
-    wide = t("documents").groupBy("source").pivot("lang", ["en", "fr"]).agg(F.min("lang"))
-    return wide.select("source", *(F.coalesce(c, F.lit("")).alias(f"lang_{c}") for c in ("en", "fr")))
+    """The languages are found in the data; each source has a map of them."""
+    named = t("documents").where("lang IS NOT NULL").groupBy("source", "lang").agg(F.concat("lang", F.lit(":"), F.min("doc_id")).alias("name"))
+    maps = named.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("lang", "name"))).alias("langs"))  # languages, not documents
+    return conform.pivoted_map(maps, "langs", "lang_")
 
 
 @query("fn_category_name", "SELECT n_nationkey, CASE n_regionkey WHEN 0 THEN 'general' WHEN 1 THEN 'artist' WHEN 3 THEN 'copyright' WHEN 4 THEN 'character' ELSE 'unknown' END AS category FROM nation")

@@ -37,6 +37,9 @@ QUERIES["scan_projected"] = _scan_projected
 query("scan_footer_count", "SELECT count(*) AS n FROM lineitem")(lambda t: t("lineitem"))
 QUERIES["scan_footer_count"] = lambda spark, sf_dir: readers.row_count(spark, f"{sf_dir}/lineitem.parquet")
 
+query("scan_footer_span", "SELECT count(*) AS n, min(l_orderkey) AS least, max(l_orderkey) AS most FROM lineitem")(lambda t: t("lineitem"))
+QUERIES["scan_footer_span"] = lambda spark, sf_dir: readers.footer_span(spark, f"{sf_dir}/lineitem.parquet", "l_orderkey")
+
 
 def _write_parts(df: DataFrame, place: str, parts: int, key: str) -> None:
     """Files x-0 to x-(parts - 1), as an earlier job would have left them."""

@@ -6,6 +6,7 @@ import io
 import tarfile
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,9 +30,33 @@ def projected(spark: SparkSession, path: str, columns: list[str], condition: Col
     return df if condition is None else df.where(condition)
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` that lets parquet footers answer aggregates; the settings of ``spark`` stay as they are."""
+    made = spark.newSession()
+    made.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    kept = [s for s in spark.conf.get("spark.sql.sources.useV1SourceList").split(",") if s != "parquet"]
+    made.conf.set("spark.sql.sources.useV1SourceList", ",".join(kept))
+    return made
+
+
 def row_count(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a parquet table; reads no column."""
-    return spark.read.parquet(path).agg(F.count("*").alias("n"))
+    """Rows of a parquet table, from the footers of its files: no row group is read."""
+    counted = footer_session(spark).read.parquet(path).agg(F.count("*").alias("n"))
+    # Of a table without row groups the pushed count is null, though its column says it can't be; a sum may be.
+    return counted.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))
+
+
+def footer_span(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """``n``, ``least`` and ``most`` of a numeric or boolean column from the footers; read from the column itself where a footer lacks its statistics."""
+    from pyspark.errors import PySparkException
+
+    wanted = (F.count("*").alias("n"), F.min(column).alias("least"), F.max(column).alias("most"))
+    try:  # Spark finds out when it reads the footers
+        row = footer_session(spark).read.parquet(path).agg(*wanted).collect()
+    except (PySparkException, Py4JJavaError):
+        return spark.read.parquet(path).agg(*wanted)
+    kind = dict(spark.read.parquet(path).dtypes)[column]
+    return spark.createDataFrame([(r["n"] or 0, r["least"], r["most"]) for r in row], f"n long, least {kind}, most {kind}")
 
 
 def shards(spark: SparkSession, path: str) -> DataFrame:

@@ -436,3 +436,27 @@ def test_entity_pages_with_missing_parts():
     assert bare == (None, "unknown", None, (None, None), [], "", [], {}, [], [])
     odd = pages.entity_of('<section id="tag-info-wrapper"><h2 class="a,b">x</h2></section><div id="tag-cover-wrapper"><a href="/no/number">y</a></div><ul id="tags"><li>no link</li><li><a>none</a></li><li><a href="http://[">bad</a></li></ul><div id="aliases"><ul><li class="language">z</li></ul></div>', base)
     assert odd[1:4] == ("unknown", "a,b", (None, None)) and odd[6:] == ([(None, "", True)], {"": None}, [], [])
+
+
+def test_footers_answer_counts(spark, tmp_path):
+    place = str(tmp_path / "t")
+    spark.range(1000).select("id", F.concat(F.lit("x"), "id").alias("s")).repartition(3).write.parquet(place)
+    counted = readers.row_count(spark, place)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and counted.first().n == 1000
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    assert tuple(readers.footer_span(spark, place, "id").first()) == (1000, 0, 999)
+    spark.range(5).write.option("parquet.column.statistics.enabled", "false").parquet(str(tmp_path / "bare"))
+    assert tuple(readers.footer_span(spark, str(tmp_path / "bare"), "id").first()) == (5, 0, 4)
+    spark.range(0).write.parquet(str(tmp_path / "none"))
+    assert readers.row_count(spark, str(tmp_path / "none")).first().n == 0 and tuple(readers.footer_span(spark, str(tmp_path / "none"), "id").first()) == (0, None, None)
+
+
+def test_a_map_becomes_columns(spark):
+    df = spark.createDataFrame([(1, {"en": "a", "ja": "b"}), (2, {"JA": "c", "é x": None}), (3, None), (4, {})], "id int, langs map<string,string>")
+    made = conform.pivoted_map(df, "langs", "lang_")
+    assert made.columns == ["id", "lang_JA", "lang_en", "lang_é x"]
+    assert sorted(map(tuple, made.collect())) == [(1, "b", "a", ""), (2, "c", "", ""), (3, "", "", ""), (4, "", "", "")]
+    with pytest.raises(ValueError):
+        conform.pivoted_map(df, "langs", "lang_", most=2)
+    assert conform.pivoted_map(df.limit(0), "langs", "lang_").columns == ["id"]
