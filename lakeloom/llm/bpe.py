@@ -7,13 +7,12 @@ to the task that owns the bucket. There each chunk is encoded once for all
 documents, and the ids go back to the blocks that asked.
 
 A chunk's own ids are right only away from its ends: a word cut in two encodes
-otherwise. Between a visible ASCII character and a space or line feed the
-pre-tokeniser always cuts, whatever stands around it, so ids of whole stretches
-between two such places are the document's own. A chunk is therefore encoded from
-its first such place to its last; what lies before and after is joined to the
-neighbouring chunk's end, and each join is re-encoded over a window that grows
-until it reaches such a place on both sides, where it agrees exactly with the
-chunks' ids.
+otherwise. Where letters, digits, other marks and blanks meet, the pre-tokeniser
+cuts whatever stands around (``all_sync_places``), so ids of whole stretches between two
+such places are the document's own. A chunk is therefore encoded from its first such
+place to its last; what lies before and after is joined to the neighbouring chunk's end,
+and each join is re-encoded over a window that grows until it reaches such a place on
+both sides, where it agrees exactly with the chunks' ids.
 
 Sizes: a block is ``block_bytes`` of text, a bucket task keeps at most
 ``memo_bytes`` of chunks (beyond that it forgets and encodes again), so memory is
@@ -28,7 +27,7 @@ other columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,14 +67,61 @@ def chunk_ends(marks: np.ndarray, start: int, end: int) -> list[int]:
     return ends
 
 
-def sync_places(data: bytes) -> tuple[int, int] | None:
-    """First and last place where every pre-tokenisation cuts, or None."""
+def _kinds() -> np.ndarray:
+    """Of each byte: letter, digit, other visible ASCII (1 to 3), blank or line feed (4), or neither (0)."""
+    kind = np.zeros(256, dtype=np.uint8)
+    kind[0x21:0x7F] = 3
+    kind[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+    kind[0x30:0x3A] = 2
+    kind[[0x20, 0x0A]] = 4
+    return kind
+
+
+KINDS = _kinds()
+#: Marks that end a run of Chinese characters.
+CJK_MARKS = "、。，！？：；"
+
+
+def pairs_inside(specials: Collection[str]) -> np.ndarray:
+    """Which two bytes stand next to one another in a special string: between these there is no sure cut."""
+    found = np.zeros((256, 256), dtype=bool)
+    for s in specials:
+        raw = np.frombuffer(s.encode(), dtype=np.uint8)
+        found[raw[:-1], raw[1:]] = True
+    return found
+
+
+def all_sync_places(data: bytes, inside: np.ndarray | None = None) -> np.ndarray:
+    """Places where every pre-tokenisation cuts, whatever stands around.
+
+    Runs of letters, of digits and of other marks end where the next kind begins, and
+    before a blank. Only an apostrophe may take letters with it. The same holds between
+    Chinese characters and the marks of CJK_MARKS. No place is in a special string.
+    """
     x = np.frombuffer(data, dtype=np.uint8)
     if len(x) < 2:
-        return None
-    after, before = x[1:], x[:-1]
-    hit = np.flatnonzero(((after == 32) | (after == 10)) & (before >= 0x21) & (before <= 0x7E))
-    return (int(hit[0]) + 1, int(hit[-1]) + 1) if len(hit) else None
+        return np.zeros(0, dtype=np.int64)
+    before, after = x[:-1], x[1:]
+    a, b = KINDS[before], KINDS[after]
+    hit = (a >= 1) & (a <= 3) & (b >= 1) & (a != b) & ~((before == 0x27) & (b == 1))
+    if inside is not None:
+        hit &= ~inside[before, after]
+    places = np.flatnonzero(hit) + 1
+    if len(x) >= 6 and (x >= 0xE3).any():
+        # Three bytes each: a character from U+4E00 to U+9F7F, a mark.
+        lead, second = x[:-2], x[1:-1]
+        han = ((lead == 0xE4) & (second >= 0xB8)) | ((lead >= 0xE5) & (lead <= 0xE8)) | ((lead == 0xE9) & (second <= 0xBD))
+        triple = (lead.astype(np.int32) << 16) | (second.astype(np.int32) << 8) | x[2:]
+        mark = np.isin(triple, [int.from_bytes(m.encode(), "big") for m in CJK_MARKS])
+        changed = np.flatnonzero((han[:-3] & mark[3:]) | (mark[:-3] & han[3:])) + 3
+        places = np.union1d(places, changed)
+    return places
+
+
+def sync_places(data: bytes, inside: np.ndarray | None = None) -> tuple[int, int] | None:
+    """First and last of ``all_sync_places``, or None."""
+    places = all_sync_places(data, inside)
+    return (int(places[0]), int(places[-1])) if len(places) else None
 
 
 def packed_ids(ids: np.ndarray, sizes: np.ndarray, ends: bytes) -> bytes:
@@ -162,6 +208,7 @@ def _encode(tokenizer: str, memo_bytes: int):
 
     def task(batches):
         bpe = byte_bpe(tokenizer)
+        inside = pairs_inside(bpe.specials)
         memo: dict[bytes, tuple[np.ndarray, int, int]] = {}
         held = 0
         for batch in batches:
@@ -177,7 +224,7 @@ def _encode(tokenizer: str, memo_bytes: int):
                         if held > memo_bytes:
                             memo.clear()
                             held = 0
-                        places = sync_places(chunk)
+                        places = sync_places(chunk, inside)
                         if places is None:
                             memo[chunk] = (np.zeros(0, np.uint32), size, size)
                         else:

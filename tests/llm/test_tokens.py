@@ -1,14 +1,17 @@
 """BPE against the tokenizers library, packing invariants."""
 
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
 from lakeloom.llm import bpe, packing
-from lakeloom.llm.common import default_tokenizer
+from lakeloom.llm.common import byte_bpe, default_tokenizer
 
 
 @pytest.fixture(scope="module")
@@ -122,3 +125,57 @@ def test_costs_are_balanced():
     values = sorted(cost.values())
     assert values[-1] < 1.3 * np.mean(values)
     assert all(sum(p[1] for p in parts) == n for parts, n in zip(placed, lengths, strict=True))
+
+
+CONTEXTS = ["", " ", "\n", "'", "it's", "1", "x", "漢", "。", "  \n ", "é", "<|", "|>", "..", "'ll"]
+
+
+def test_every_sync_place_cuts_in_every_context():
+    """Ids left and right of a place are those of the whole, with anything before and behind."""
+    rng = random.Random(5)
+    coder = byte_bpe(default_tokenizer())
+    inside = bpe.pairs_inside(coder.specials)
+    pieces = ["ab", "Zq", "12", "7", "'", "'s", "'ll", "'re5", "\"", "+/=", "...", " ", "\n", "\t", "漢字", "中文句子", "，", "。", "é", "ß", "<|endoftext|>", "<|", "|>", "endoftext", "\U0001f600", "x_y", "٣"]
+    n = 0
+    for _ in range(800):
+        text = "".join(rng.choices(pieces, k=rng.randint(2, 12)))
+        whole = (rng.choice(CONTEXTS) + text + rng.choice(CONTEXTS)).encode()
+        ids = coder.encode(whole.decode()).tolist()
+        for at in bpe.all_sync_places(whole, inside).tolist():
+            n += 1
+            assert coder.encode(whole[:at].decode()).tolist() + coder.encode(whole[at:].decode()).tolist() == ids
+    assert n > 1500
+
+
+@pytest.mark.parametrize("kind", ["chinese", "base64", "code"])
+def test_texts_without_blanks_reuse_their_chunks(kind):
+    """Of many texts around one passage far less is encoded than they have, and the ids are the library's."""
+    rng = random.Random(kind)
+    if kind == "chinese":
+        some = lambda n: "".join("".join(chr(rng.randint(0x4E00, 0x9F00)) for _ in range(rng.randint(3, 20))) + rng.choice("，。！") for _ in range(n // 30))
+    elif kind == "base64":
+        some = lambda n: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=n))
+    else:
+        some = lambda n: "".join(rng.choice(["function", "a1", "(b", ",c){", "return", "!0}", ";var", "x=", "[]", "'s'"]) for _ in range(n // 4))
+    shared = some(30_000)
+    texts = [some(300) + shared + some(300) for _ in range(12)]
+    coder = byte_bpe(default_tokenizer())
+    encoded = []
+    plain = coder.encode
+
+    def counted(text):
+        encoded.append(len(text.encode()))
+        return plain(text)
+
+    coder.encode = counted
+    try:
+        cut = bpe._cut(1, 100_000)([pa.record_batch([pa.array(range(12), pa.int64()), pa.array(texts)], names=["doc_id", "text"])])
+        coded = pa.Table.from_batches(list(bpe._encode(default_tokenizer(), 48_000_000)(cut)))
+        got = {}
+        for home in set(coded.column("home").to_pylist()):
+            for batch in bpe._assemble(default_tokenizer())((home,), iter(coded.filter(pc.equal(coded.column("home"), home)).to_batches())):
+                got |= dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+    finally:
+        del coder.encode
+    assert [got[i] for i in range(12)] == [plain(t).tolist() for t in texts]
+    assert sum(encoded) < sum(len(t.encode()) for t in texts) / 4
