@@ -1,4 +1,4 @@
-"""Exact substring deduplication over suffixes, by external induced sorting.
+"""Exact substring deduplication over suffixes, sorted by induction in part.
 
 A byte goes if it lies in a string of ``window`` bytes that also starts in a
 document of smaller doc_id. Documents are stored in blocks, and then:
@@ -11,9 +11,9 @@ document of smaller doc_id. Documents are stored in blocks, and then:
    each distinct string of a shared minimizer once, with the least doc_id that has
    it there, to the minimizer's bucket; so equal windows meet, in one task.
 3. Suffixes. Strings whose minimizer no other distinct string of the bucket has are
-   done; the others are sorted by induction (module
-   ``suffix_sort``; queues spill to disk, so a bucket may be larger than memory),
-   and neighbours in the order with a common prefix of ``window`` bytes form a
+   done; the others are sorted (module ``suffix_sort``: by induction, with queues that
+   spill to disk, but for levels of many names, which go by prefix doubling; a bucket's
+   distinct strings and their ranks are in memory), and neighbours in the order with a common prefix of ``window`` bytes form a
    class. A class's least doc_id says, for each window of each string, whether an
    earlier document has it.
 4. Cut. The answers, a bit for each window, go back to the blocks.

@@ -1,6 +1,6 @@
-"""Suffixes sorted by recursive induction with queues that spill to disk.
+"""Suffixes sorted by recursive induction with queues that spill to disk, in part.
 
-As in external induced sorting: suffixes are told apart by type (S if smaller
+As in external induced sorting, but with the text, its types and ranks in memory: suffixes are told apart by type (S if smaller
 than the next suffix, else L); those of type S behind one of type L (the starred
 ones) are sorted by recursion over their names, and all others are induced from
 them, first L in ascending, then S in descending order of symbols. The induced

@@ -19,8 +19,9 @@ size; all else covers all data, and scoring reads every whole text in one narrow
 
 Defined cases: texts of any length are read whole; a null text is empty; a text without
 known features, the empty one included, gets the intercept's score; rows with a null
-label are not labelled; repeated rows are scored once for each row; a null doc_id is
-drawn and held out as the empty id; without toxic training rows every score is the prior
+label are not labelled; repeated rows are scored once for each row; rows without a doc_id
+aren't drawn (no label names them), are scored like any other and held out as the empty
+id is; without toxic training rows every score is the prior
 (0 if nothing is labelled). Only doc_id and text of documents and doc_id and
 toxic of labels are read, whatever other columns there are.
 """
@@ -105,6 +106,8 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled:
     known = known.where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT)
     share = known.agg(F.avg((F.col("toxic") == 1).cast("double")).alias("p")).first()["p"] or 0.0
     prior = min(max(share, 1e-4), 0.9)
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
     def draw(ids: DataFrame, seed: int, most: int, positive: int) -> DataFrame:
         """``most`` distinct ids at most, and of the rows that have them as many again at most, by their text's digest."""
         chosen = ids.distinct().orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(most)
@@ -112,7 +115,6 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled:
         digests = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", F.xxhash64("text").alias("digest")).dropDuplicates(["digest"])
         return digests.orderBy(F.xxhash64("doc_id", "digest", F.lit(seed)), "doc_id", "digest").limit(most).withColumn("positive", F.lit(positive))
 
-    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     chosen_p = draw(known.where("toxic = 1").select("doc_id"), 7, positives, 1)
     chosen_u = draw(docs.select("doc_id").where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT), 11, unlabelled, 0)
     wanted = F.broadcast(chosen_p.unionByName(chosen_u))
