@@ -328,12 +328,14 @@ def str_file_skip(t: Tables) -> DataFrame:
 
 @query("str_cursor_resume", "SELECT event_id FROM events")
 def str_cursor_resume(t: Tables) -> DataFrame:
-    """A run that stops after two batches, and one that goes on from the cursor which the first stored."""
+    """Files of the newest ids first; a run that stops after two of them, and one that goes on from the stored cursor."""
     spark, place = _place(t)
-    span = measures.id_span(t("events"), "event_id").first()
-    width = (span["max_id"] - span["min_id"]) // 3 + 1
-    jobs.walk_down(t("events").select("event_id"), "event_id", width, place, most_batches=2)
-    jobs.walk_down(t("events").select("event_id"), "event_id", width, place)
+    ids, span = t("events").select("event_id"), measures.id_span(t("events"), "event_id").first()
+    width = (span["max_id"] - span["min_id"]) // 5 + 1
+    for part in reversed(range(5)):
+        ids.where(F.floor((F.col("event_id") - span["min_id"]) / width) == part).coalesce(1).write.mode("append").parquet(f"{place}/in")
+    for most in (2, None):
+        jobs.in_batches(spark.readStream.schema(ids.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/in"), place, most)
     return spark.read.parquet(f"{place}/out").drop("batch")
 
 

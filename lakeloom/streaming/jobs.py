@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import times
@@ -24,25 +25,28 @@ def upsert_stream(batches: DataFrame, table: MergedTable, spec: upsert.UpsertSpe
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 minutes")).start()
 
 
-def walk_down(source: DataFrame, key: str, width: int, place: str, most_batches: int | None = None) -> None:
-    """Rows of ``source`` in batches of ``width`` ids from the newest down to ``place``/out, and the least id done to ``place``/cursor.
+def in_batches(stream: DataFrame, place: str, most_batches: int | None = None) -> int:
+    """Rows of a stream to ``place``/out, and how many batches there are by now; the cursor is Spark's checkpoint in ``place``/state.
 
-    A run starts where the stored cursor says, or at the top. A batch is named after its
-    upper end and the cursor is stored after it, so a batch that runs again after a
-    failure replaces itself.
+    A run ends with what is there, or once it has done ``most_batches`` (one that has begun
+    by then is done too, or begins again in the next run). A batch that runs again
+    replaces itself.
     """
-    spark = source.sparkSession
-    span = source.agg(F.min(key).alias("least"), F.max(key).alias("most")).first()
-    if span["least"] is None:
-        return
-    stored = listed(spark, f"{place}/cursor")
-    cursor = spark.read.schema("at long").json(f"{place}/cursor/{min(stored, key=lambda n: int(n[2:]))}").first()["at"] if stored else span["most"] + 1
-    done = 0
-    while cursor > span["least"] and (most_batches is None or done < most_batches):
-        some = source.where((F.col(key) < cursor) & (F.col(key) >= cursor - width))
-        some.write.mode("overwrite").parquet(f"{place}/out/batch={cursor}")
-        cursor, done = cursor - width, done + 1
-        spark.createDataFrame([(cursor,)], "at long").coalesce(1).write.mode("overwrite").json(f"{place}/cursor/at{cursor}")
+    enough, done = threading.Event(), 0
+
+    def keep(batch: DataFrame, number: int) -> None:
+        nonlocal done
+        batch.write.mode("overwrite").parquet(f"{place}/out/batch={number}")
+        done += 1
+        if most_batches is not None and done >= most_batches:
+            enough.set()
+
+    query = stream.writeStream.option("checkpointLocation", f"{place}/state").foreachBatch(keep).trigger(availableNow=True).start()
+    while not enough.is_set() and not query.awaitTermination(0.1):
+        pass
+    if enough.is_set():
+        query.stop()
+    return len([n for n in listed(stream.sparkSession, f"{place}/out") if n.startswith("batch=")])
 
 
 def through_files(df: DataFrame, place: str, job, parts: int = 4) -> DataFrame:

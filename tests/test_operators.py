@@ -392,14 +392,17 @@ def test_an_empty_table_takes_batches(spark, tmp_path):
 
 
 def test_a_run_that_stops_goes_on_from_its_cursor(spark, tmp_path):
-    place, ids = str(tmp_path), spark.range(5, 47).withColumnRenamed("id", "k")
-    jobs.walk_down(ids, "k", 10, place, most_batches=2)
-    done = {r.k for r in spark.read.parquet(f"{place}/out").collect()}
-    assert done == set(range(27, 47))
-    later = ids.where("k < 27").union(spark.createDataFrame([(30,)], "k long"))  # what lies above the cursor isn't read again
-    jobs.walk_down(later, "k", 10, place)
-    assert sorted(r.k for r in spark.read.parquet(f"{place}/out").collect()) == list(range(5, 47))
-    jobs.walk_down(ids.limit(0), "k", 10, str(tmp_path / "none"))
+    place = str(tmp_path)
+    for k in range(6):
+        spark.range(10 * k, 10 * k + 10).coalesce(1).write.mode("append").parquet(f"{place}/in")
+    stream = lambda: spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{place}/in")
+    ids = lambda: sorted(r.id for r in spark.read.schema("id long").parquet(f"{place}/out").collect())
+    done = jobs.in_batches(stream(), place, most_batches=2)
+    assert 2 <= done < 6 and len(ids()) < 60
+    assert jobs.in_batches(stream(), place) == 6 and ids() == list(range(60))
+    spark.range(60, 65).coalesce(1).write.mode("append").parquet(f"{place}/in")
+    assert jobs.in_batches(stream(), place) == 7 and ids() == list(range(65))
+    assert jobs.in_batches(stream(), place) == 7
 
 
 def test_streams_of_windows_dedup_and_rates(spark, tmp_path):
