@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import functools
+import gc
 import json
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
+from ..session import checkpointed as checkpointed  # for the operators
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
@@ -19,16 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder that all executors share, its lineage cut.
+def forgotten(df: DataFrame) -> None:
+    """Lets Spark remove the shuffle files of what was checkpointed and isn't referred to any more.
 
-    The folder is ``spark.checkpoint.dir``; only a local session without that
-    setting, as in tests, has a temporary one.
+    It does so when the driver collects its garbage, which a small driver may not do for
+    many rounds of a loop.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.java.lang.System.gc()
 
 
 def shuffle_partitions(df: DataFrame) -> int:

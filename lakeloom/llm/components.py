@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, forgotten
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -47,6 +47,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         work = checkpointed(_small_star(_large_star(work)))
         state = work.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        forgotten(work)
         if tuple(state) == seen:
             return work.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = tuple(state)
