@@ -12,7 +12,8 @@ to the groups that it can serve, and each group is solved exactly on what it got
 
 The summaries have at most ``pivots`` x ``rings`` rows. Query groups are split to
 at most ``group_limit`` queries; data for a group are spread over slices that
-grow with the number of shuffle partitions, so no task holds all of either. Each
+grow with the number of shuffle partitions, so no task holds all of either. Within a
+slice each query passes over blocks that can't reach its own k-th best score so far. Each
 slice's k best are ranked once more for each query. Where the data have no
 clusters the bounds exclude little and the join is the whole query set against
 all rows, in blocks.
@@ -27,6 +28,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +41,7 @@ from pyspark.sql.window import Window
 
 from .common import checkpointed, shuffle_partitions, table
 
-BLOCK = "cell int, sub int, slice int, query int, rows binary, ids binary, width int, wide int, body binary"
+BLOCK = "cell int, sub int, slice int, query int, rows binary, ids binary, width int, wide int, body binary, home int, least double, most double"
 SLACK = 1e-6
 
 
@@ -102,6 +104,46 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k] if scores.dtype != object else np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], dtype=np.int64)
 
 
+def solved(queries: tuple[np.ndarray, np.ndarray], blocks: list[tuple], centre: np.ndarray, centre_lift: np.ndarray, most: float, k: int) -> tuple[list[list], int]:
+    """For each query (numbers, vectors) scores and ids among which its ``k`` best of all ``blocks`` are, and how many pairs were scored.
+
+    A block is (cell, least and greatest distance from the cell's pivot, function giving numbers,
+    ids and vectors). By the triangle inequality it can't come nearer to a query than their
+    distances from the pivot differ, so its scores there are bounded; a query passes over a
+    block whose bound is below its k-th best score so far. Near blocks come first.
+    """
+    q_rows, q = queries
+    found: list[list] = [[] for _ in q_rows]
+    best_so_far = np.full((len(q_rows), k), -np.inf)
+    square = (q * q).sum(1)
+    away = _distances(q, np.zeros(len(q)), centre, centre_lift)
+    bounds = []
+    for cell, least, greatest, _ in blocks:
+        nearest = np.maximum(0.0, np.maximum(away[:, cell] - greatest, least - away[:, cell]))
+        bounds.append((square + most - nearest * nearest) / 2 + SLACK * (square + most + 1))
+    scored = 0
+    for at in sorted(range(len(blocks)), key=lambda i: -float(bounds[i].max(initial=0))):
+        live_all = np.flatnonzero(bounds[at] >= best_so_far.min(1))
+        if not len(live_all):
+            continue
+        own, ids, x = blocks[at][3]()
+        for lo in range(0, len(live_all), 1024):  # bounded blocks of scores
+            live = live_all[lo : lo + 1024]
+            scores = products(q[live], x)
+            scored += scores.size
+            eligible = q_rows[live, None] != own[None]
+            if scores.dtype != object:
+                there = np.where(eligible, scores, -np.inf)
+                if len(ids) > k:
+                    there = np.partition(there, len(ids) - k, axis=1)[:, len(ids) - k :]
+                both = np.concatenate([best_so_far[live], there], axis=1)
+                best_so_far[live] = np.partition(both, both.shape[1] - k, axis=1)[:, both.shape[1] - k :]
+            hit_q, hit_x = np.nonzero(eligible & (scores >= best_so_far[live].min(1)[:, None]))
+            for i, cut in zip(*_runs(hit_q), strict=True):
+                found[live[i]].append((scores[i, hit_x[cut]], ids[hit_x[cut]]))
+    return found, scored
+
+
 def top_k(vectors: DataFrame, k: int = 20, query_modulus: int = 20, scale: float = 64.0, pivots: int = 16, rings: int = 8, group_limit: int = 8192) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` for the rows whose id ``query_modulus`` divides, against all other rows."""
     result = "query_id long, rank int, vec_id long, score long"
@@ -169,18 +211,22 @@ def top_k(vectors: DataFrame, k: int = 20, query_modulus: int = 20, scale: float
                 for (c, r), targets in serves.items():
                     units[c, r] = g in targets
                 some = units[cell, ring]
-                for lo in range(0, int(some.sum()), 2048):
-                    pick = np.flatnonzero(some)[lo : lo + 2048]
+                # A block has rows of one cell, of like distance from its pivot.
+                chosen = np.flatnonzero(some)
+                chosen = chosen[np.lexsort((d[chosen], cell[chosen]))]
+                edges = np.searchsorted(cell[chosen], np.arange(len(centre) + 1))
+                for pick in (chosen[at : min(at + 2048, hi)] for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True) for at in range(lo, hi, 2048)):
                     wide, body = packed(x[pick])
-                    rows += [(g, sub, turn % slices, 0, numbers[pick].astype("<i8").tobytes(), ids[pick].astype("<i8").tobytes(), dims, wide, body) for sub in range(subs[g])]
+                    place = (int(cell[pick[0]]), float(d[pick[0]]), float(d[pick[-1]]))
+                    rows += [(g, sub, turn % slices, 0, numbers[pick].astype("<i8").tobytes(), ids[pick].astype("<i8").tobytes(), dims, wide, body, *place) for sub in range(subs[g])]
                     turn += 1
                 for sub in range(subs[g]):
                     pick = np.flatnonzero(is_query & (q_cell == g) & (numbers % subs[g] == sub))
                     if len(pick):
                         wide, body = packed(x[pick])
-                        rows += [(g, sub, s, 1, numbers[pick].astype("<i8").tobytes(), ids[pick].astype("<i8").tobytes(), dims, wide, body) for s in range(slices)]
+                        rows += [(g, sub, s, 1, numbers[pick].astype("<i8").tobytes(), ids[pick].astype("<i8").tobytes(), dims, wide, body, -1, 0.0, 0.0) for s in range(slices)]
             for row in rows:
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=[f.split()[0] for f in BLOCK.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.float64(), pa.float64()), strict=True)], names=[f.split()[0] for f in BLOCK.split(", ")])
 
     def solve(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for b in batches for r in b.to_pylist()]
@@ -192,21 +238,8 @@ def top_k(vectors: DataFrame, k: int = 20, query_modulus: int = 20, scale: float
         if not queries:
             return
         q_rows, q_ids, q = (np.concatenate([b[i] for b in queries]) for i in range(3))
-        found: list[list] = [[] for _ in q_ids]
-        floor = np.full(len(q_ids), -np.inf)
-        for row in rows:
-            if row["query"]:
-                continue
-            own, ids, x = block(row)
-            for lo in range(0, len(q_ids), 1024):  # bounded blocks of scores
-                scores = products(q[lo : lo + 1024], x)
-                eligible = q_rows[lo : lo + 1024, None] != own[None]
-                if scores.dtype != object and len(ids) > k:
-                    near = np.partition(np.where(eligible, scores, -np.inf), len(ids) - k, axis=1)[:, len(ids) - k]
-                    floor[lo : lo + 1024] = np.maximum(floor[lo : lo + 1024], near)
-                hit_q, hit_x = np.nonzero(eligible & (scores >= floor[lo : lo + 1024, None]))
-                for i, cut in zip(*_runs(hit_q), strict=True):
-                    found[lo + i].append((scores[i, hit_x[cut]], ids[hit_x[cut]]))
+        blocks = [(r["home"], r["least"], r["most"], functools.partial(block, r)) for r in rows if not r["query"]]
+        found, _ = solved((q_rows, q), blocks, centre, centre_lift, most, k)
         out = []
         for number, qid, each in zip(q_rows.tolist(), q_ids.tolist(), found, strict=True):
             if each:

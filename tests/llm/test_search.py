@@ -40,6 +40,33 @@ def test_top_k_equals_brute_force(spark, kind):
         assert got == plain_top(rows, 20)
 
 
+def test_queries_pass_over_what_cannot_reach_them():
+    """Of clustered data a query scores less than a third, of any data the best are found."""
+    rng = np.random.default_rng(3)
+    for spread, most_share in ((0.05, 0.3), (5.0, 1.0)):
+        centres = rng.normal(size=(12, 16)) * 40
+        x = np.floor(centres[rng.integers(0, 12, 6000)] + rng.normal(size=(6000, 16)) * spread * 10)
+        q = x[::20]
+        top = (x * x).sum(1).max()
+        pivots, lift = x[:24], np.sqrt(top - (x[:24] ** 2).sum(1))
+        d = knn._distances(x, np.sqrt(top - (x * x).sum(1)), pivots, lift)
+        cell, numbers = d.argmin(1), np.arange(6000)
+        blocks = []
+        for c in range(24):
+            some = numbers[cell == c]
+            some = some[np.argsort(d[some, c])]
+            for lo in range(0, len(some), 100):
+                pick = some[lo : lo + 100]
+                blocks.append((c, d[pick[0], c], d[pick[-1], c], lambda pick=pick: (pick, pick, x[pick])))
+        found, scored = knn.solved((numbers[::20], q), blocks, pivots, lift, top, 20)
+        assert scored <= most_share * len(q) * 6000
+        for i, each in enumerate(found):
+            scores, ids = np.concatenate([e[0] for e in each]), np.concatenate([e[1] for e in each])
+            every = x @ q[i]
+            every[20 * i] = -np.inf
+            assert ids[knn.best(scores, ids, 20)].tolist() == np.lexsort((numbers, -every))[:20].tolist()
+
+
 def test_rows_that_share_an_id_equal_sql(spark, tmp_path):
     import duckdb
 
