@@ -100,14 +100,16 @@ def plural(count: Column, noun: str) -> Column:
     return F.concat(count.cast("string"), F.lit(f" {noun}"), F.when(count == 1, "").otherwise("s"))
 
 
-def size_bucket(count: Column) -> Column:
-    """Public size labels of dataset hubs."""
+def size_bucket(count: Column, last: str = "1T", beyond: str | None = None) -> Column:
+    """Public size labels of dataset hubs up to ``last``; what is beyond has a label of its own, ``n>last`` if not given."""
     found, low = None, None
     for label, limit in (("1K", 10**3), ("10K", 10**4), ("100K", 10**5), ("1M", 10**6), ("10M", 10**7), ("100M", 10**8), ("1B", 10**9), ("10B", 10**10), ("100B", 10**11), ("1T", 10**12)):
         name = f"n<{label}" if low is None else f"{low}<n<{label}"
         found = F.when(count < limit, name) if found is None else found.when(count < limit, name)
         low = label
-    return found.otherwise(f"n>{low}")
+        if label == last:
+            break
+    return found.otherwise(beyond or f"n>{low}")
 
 
 def bucket_mod(number: Column, buckets: int = 1000, width: int = 4) -> Column:

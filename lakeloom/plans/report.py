@@ -11,13 +11,13 @@ from ..operators import tags
 PREVIEW = 50
 
 
-def sizes(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows and the public size label of each table."""
+def sizes(tables: dict[str, DataFrame], **labels: str) -> DataFrame:
+    """Rows and the public size label of each table; ``labels`` as ``text.size_bucket`` has them."""
     counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in tables.items()]
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
-    return out.withColumn("size_bucket", text.size_bucket(F.col("n")))
+    return out.withColumn("size_bucket", text.size_bucket(F.col("n"), **labels))
 
 
 def preview(df: DataFrame, key: str, rows: int = PREVIEW) -> DataFrame:

@@ -463,3 +463,19 @@ def test_a_map_becomes_columns(spark):
     with pytest.raises(ValueError):
         conform.pivoted_map(df, "langs", "lang_", most=2)
     assert conform.pivoted_map(df.limit(0), "langs", "lang_").columns == ["id"]
+
+
+def test_size_labels_end_where_the_query_says(spark):
+    counts = spark.createDataFrame([(9_999_999,), (10_000_000,), (36_000_000,), (10**12,)], "n long")
+    of = lambda **labels: [r[0] for r in counts.orderBy("n").select(text.size_bucket(F.col("n"), **labels)).collect()]
+    assert of() == ["1M<n<10M", "10M<n<100M", "10M<n<100M", "n>1T"]
+    assert of(last="10M", beyond="more") == ["1M<n<10M", "more", "more", "more"]
+
+
+def test_the_size_query_labels_ten_million_rows_as_its_sql(spark, tmp_path):
+    from lakeloom.plans.catalog import QUERIES
+
+    for name, n in (("orders", 10_000_000), ("region", 5), ("lineitem", 1000)):
+        spark.range(n).write.parquet(str(tmp_path / f"{name}.parquet"))
+    made = QUERIES["fn_size_bucket"](spark, str(tmp_path)).collect()
+    assert {r.table_name: r.size_bucket for r in made} == {"orders": "more", "region": "n<1K", "lineitem": "1K<n<10K"}
