@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from .ordered import dealt, numbered, running
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt to as many tasks as a shuffle has or there are cores, for work that its files' bytes don't tell."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *keys)
+
+
 def shard_of(df: DataFrame, order: list[str], cap: int, sealed: int = 0, descending: bool = False) -> DataFrame:
     """``df`` with ``shard``: ``cap`` rows each in the given order, numbered behind the ``sealed`` ones."""
     placed = numbered(df, order, "_n", descending=descending)

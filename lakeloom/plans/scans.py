@@ -151,6 +151,7 @@ FROM part WHERE p_partkey % 11 <> 0"""
 def scan_html_entity(t: Tables) -> DataFrame:
     """Pages with every section, without some, with a blank or no main one; lists and elements that nothing closes."""
     k, lit = F.col("p_partkey"), F.lit
+    parts = layout.spread(t("part"), "p_partkey")  # a few bytes of a part become a page: its file's bytes don't say how many tasks that takes
     part = lambda condition, *texts: F.when(condition, F.concat(*(lit(x) if isinstance(x, str) else x for x in texts))).otherwise("")
     name = F.when(k % 4 == 0, F.concat(lit('<h1><a id="copy-link" data-value="'), "p_name", lit(' &lt;&amp;&gt;">copy</a><span>not this</span></h1>'))).otherwise(F.concat(lit("<h1>The <span> "), "p_name", lit(" </span></h1>")))
     main = F.when(k % 22 == 11, lit('<section id="tag-info-wrapper">  </section>')).when(k % 22 == 0, lit("")).otherwise(
@@ -166,7 +167,7 @@ def scan_html_entity(t: Tables) -> DataFrame:
         part(k % 4 != 1, '<ul id="tags"><li><a href="/a+b">A</a></li><li class="more"><a href="/rest">…</a></li><li><a href="https://z.example/q/', F.col("p_size"), '%C3%A9?s=1">B</a></li></ul>'),
         part(k % 4 == 2, '<ul id="outfits"><li><a href="coat">C</a></ul>'),
     )
-    found = readers.entity_pages(t("part").select("p_partkey", body.alias("body"), lit("https://x.example/e/page").alias("url")), "body", "url", ["p_partkey"])
+    found = readers.entity_pages(parts.select("p_partkey", body.alias("body"), lit("https://x.example/e/page").alias("url")), "body", "url", ["p_partkey"])
     listed = lambda column, e: F.array_join(F.transform(column, e), ";")
     return found.select(
         "p_partkey", "name", "category", "raw_category", F.col("cover.image_id").alias("cover_id"), F.col("cover.image_url").alias("cover_url"),

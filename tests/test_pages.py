@@ -87,3 +87,12 @@ def test_links_and_headings_of_the_pages(spark, sf_dir, raw):
 def test_pages_as_markdown(spark, sf_dir, raw):
     got = {r.page_id: r.markdown_sha256 for r in QUERIES["fn_html_pages_to_md"](spark, sf_dir).collect()}
     assert got == {page: hashlib.sha256(markdown_of(url, text).encode()).hexdigest() for page, (url, text) in raw.items()}
+
+
+def test_entity_pages_are_read_once_by_many_tasks(spark, sf_dir):
+    """The filter on a page's value doesn't read it again, and the parts of one small file are dealt to many tasks."""
+    from lakeloom.plans.catalog import QUERIES
+
+    made = QUERIES["scan_html_entity"](spark, sf_dir)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert made.rdd.getNumPartitions() >= 4
