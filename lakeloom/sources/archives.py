@@ -8,7 +8,6 @@ there is ``readers.tar_documents``, which takes an archive whole.
 from __future__ import annotations
 
 import hashlib
-import io
 import json
 import re
 import tarfile
@@ -22,7 +21,13 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
 
+#: What a task reads of archives, if there are many; below that, they are dealt to this many tasks.
+SHARE_BYTES, FEW_SHARES = 32 << 20, 64
+#: What is read at once, and what a batch of members has.
+PIECE, BATCH_ROWS = 1 << 20, 2000
+BLOCK = tarfile.BLOCKSIZE
 MEMBER = "archive string, member string, offset long, size long, content binary"
+COLUMNS = pa.schema([("archive", pa.string()), ("member", pa.string()), ("offset", pa.int64()), ("size", pa.int64()), ("content", pa.binary())])
 MANIFEST = pa.schema([("volume", pa.int64()), ("path", pa.string()), ("files", pa.int64()), ("bytes", pa.int64())])
 
 
@@ -37,24 +42,97 @@ def volume_name(volume: int) -> str:
 
 
 @dataclass
-class Archive(InputPartition):
+class Archive:
     path: str
     at: int = 0
+    size: int = 0
+
+
+@dataclass
+class Share(InputPartition):
+    """Archives that one task reads, one after another."""
+
+    paths: list[str]
+
+
+def shares(some: list[Archive]) -> list[Share]:
+    """The archives in their order, a few small ones together: ``SHARE_BYTES`` or a large one, less if there are few tasks then."""
+    most = min(SHARE_BYTES, sum(a.size for a in some) // FEW_SHARES)
+    made: list[Share] = []
+    held = most + 1
+    for a in some:
+        if held + a.size > most:
+            made.append(Share([]))
+            held = 0
+        made[-1].paths.append(a.path)
+        held += a.size
+    return made
 
 
 def archives(path: str) -> list[Archive]:
     """The tar files below a path with their times of change, oldest first."""
     store, root = opened(path)
     found = store.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
-    return sorted((Archive(f.path, f.mtime_ns or 0) for f in found if f.is_file and f.path.endswith((".tar", ".tar.gz")) and "/_making/" not in f.path), key=lambda a: (a.at, a.path))
+    return sorted((Archive(f.path, f.mtime_ns or 0, f.size or 0) for f in found if f.is_file and f.path.endswith((".tar", ".tar.gz")) and "/_making/" not in f.path), key=lambda a: (a.at, a.path))
+
+
+class _Rest:
+    """A stream from some bytes on that were read of it already."""
+
+    def __init__(self, held: bytes, stream):
+        self.held, self.stream = held, stream
+
+    def read(self, n: int) -> bytes:
+        some, self.held = self.held[:n], self.held[n:]
+        return some + self.stream.read(n - len(some)) if len(some) < n else some
 
 
 def members(stream, archive: str) -> Iterator[tuple]:
-    """Members of an archive as they come by, one held at a time; a broken archive is an error."""
-    with tarfile.open(fileobj=stream, mode="r|*") as tar:
+    """Members of an archive as they come by, one held at a time; a broken archive is an error.
+
+    Plain headers of files are read here; from the first other one on (compressed, long
+    names, folders, what isn't a header) ``tarfile`` reads.
+    """
+    held, at, base = b"", 0, 0  # what is held begins at ``base``, the next header is at ``at`` in it
+
+    def there(n: int) -> bool:
+        """Whether ``n`` bytes follow; they are held then."""
+        nonlocal held, at, base
+        if len(held) - at < n:
+            parts, have = [held[at:]], len(held) - at
+            while have < n and (more := stream.read(max(PIECE, n - have))):
+                parts.append(more)
+                have += len(more)
+            base, held, at = base + at, b"".join(parts), 0
+        return len(held) - at >= n
+
+    while there(BLOCK):
+        head = held[at : at + BLOCK]
+        # The places of a tar header's fields.
+        digits, told = head[124:135], head[148:154]
+        if head[257:262] != b"ustar" or head[156:157] not in b"0\0" or head[345:346] != b"\0" or not head[0] or not digits.isdigit() or not told.isdigit():
+            break
+        try:
+            name, size = head[:100].rstrip(b"\0").decode(), int(digits, 8)
+            if b"\0" in head[:100].rstrip(b"\0") or name.endswith("/") or int(told, 8) != sum(head[:148]) + sum(head[156:]) + 256:
+                break
+        except ValueError:
+            break
+        if not there(BLOCK + size):
+            raise tarfile.ReadError(f"{archive}: unexpected end of data")
+        offset = base + at + BLOCK
+        yield archive, name, offset, size, held[at + BLOCK : at + BLOCK + size]
+        padded = BLOCK + -(-size // BLOCK) * BLOCK
+        if not there(padded):
+            raise tarfile.ReadError(f"{archive}: unexpected end of data")
+        at += padded
+    begun = base + at
+    if begun and len(held) == at or held[at : at + BLOCK] == b"\0" * BLOCK and begun:
+        return
+    with tarfile.open(fileobj=_Rest(held[at:], stream), mode="r|*") as tar:
         for m in tar:
             if m.isfile():
-                yield archive, m.name, m.offset_data, m.size, tar.extractfile(m).read()
+                yield archive, m.name, begun + m.offset_data, m.size, tar.extractfile(m).read()
             tar.members.clear()  # else it keeps a note of each
 
 
@@ -64,19 +142,28 @@ class _Read:
     def __init__(self, options: dict):
         self.path = options["path"]
 
-    def read(self, partition: Archive) -> Iterator[tuple]:
+    def read(self, partition: Share) -> Iterator[pa.RecordBatch]:
         store, _ = opened(self.path)
-        with store.open_input_stream(partition.path, compression=None) as stream:
-            yield from members(stream, partition.path)
+        rows: list[tuple] = []
+        held = 0
+        for path in partition.paths:
+            with store.open_input_stream(path, compression=None) as stream:
+                for row in members(stream, path):
+                    rows.append(row)
+                    held += row[3]
+                    if held >= PIECE or len(rows) >= BATCH_ROWS:
+                        yield self._batch(rows)
+                        rows, held = [], 0
+        yield self._batch(rows)
+
+    def _batch(self, rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else [()] * len(COLUMNS)
+        return pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(columns, COLUMNS, strict=True)], schema=COLUMNS)
 
 
 class TarReader(_Read, DataSourceReader):
-    def partitions(self) -> list[Archive]:
-        return archives(self.path) or [Archive("")]
-
-    def read(self, partition: Archive) -> Iterator[tuple]:
-        if partition.path:
-            yield from super().read(partition)
+    def partitions(self) -> list[Share]:
+        return shares(archives(self.path)) or [Share([])]
 
 
 class TarStreamReader(_Read, DataSourceStreamReader):
@@ -89,14 +176,31 @@ class TarStreamReader(_Read, DataSourceStreamReader):
         there = archives(self.path)
         return {"at": there[-1].at, "path": there[-1].path} if there else self.initialOffset()
 
-    def partitions(self, start: dict, end: dict) -> list[Archive]:
+    def partitions(self, start: dict, end: dict) -> list[Share]:
         after, upto = ((o["at"], o["path"]) for o in (start, end))
-        return [a for a in archives(self.path) if after < (a.at, a.path) <= upto]
+        return shares([a for a in archives(self.path) if after < (a.at, a.path) <= upto])
 
     def commit(self, end: dict) -> None:
         pass
 
 
+# The header of an empty file without a name, and what its bytes add up to.
+_PLAIN = tarfile.TarInfo("").tobuf(tarfile.GNU_FORMAT, "utf-8", "surrogateescape")
+_SUM = sum(_PLAIN[:124]) + sum(_PLAIN[136:148]) + sum(_PLAIN[156:]) + 256
+
+
+def header(name: str, size: int) -> bytes:
+    """A file's header as ``tarfile`` makes it."""
+    raw = name.encode("utf-8", "surrogateescape")
+    if len(raw) > tarfile.LENGTH_NAME or not name or name.endswith("/") or size >= 8**11:
+        info = tarfile.TarInfo(name)
+        info.size = size
+        return info.tobuf(tarfile.GNU_FORMAT, "utf-8", "surrogateescape")
+    digits = b"%011o" % size
+    told = b"%06o\0 " % (_SUM + sum(raw) + sum(digits))
+    return b"".join((raw, _PLAIN[len(raw) : 124], digits, _PLAIN[135:148], told, _PLAIN[156:]))
+
+
 @dataclass
 class Made(WriterCommitMessage):
     """Volumes that a task has finished: number, where they wait, files, bytes."""
@@ -120,31 +224,33 @@ class VolumeWriter(DataSourceArrowWriter):
         place = f"{root}/{self.making}/{uuid.uuid4().hex}"
         store.create_dir(place, recursive=True)
         done: list[tuple[int, str, int, int]] = []
-        tar = out = None
-        notes: list[dict] = []
-        volume = None
+        out, at = None, 0
+        notes: list[str] = []
+        volume, total = None, 0
 
         def finish():
-            if tar is not None:
-                tar.close()
+            if out is not None:
+                end = at + 2 * BLOCK  # two empty blocks, and whole records
+                out.write(b"\0" * (-(-end // tarfile.RECORDSIZE) * tarfile.RECORDSIZE - at))
                 out.close()
                 with store.open_output_stream(f"{place}/{volume}.json") as side:
-                    side.write(json.dumps({"volume": volume, "files": notes}).encode())
-                done.append((volume, f"{place}/{volume}", len(notes), sum(n["size"] for n in notes)))
+                    side.write(f'{{"volume": {volume}, "files": [{", ".join(notes)}]}}'.encode())
+                done.append((volume, f"{place}/{volume}", len(notes), total))
 
         for batch in iterator:
-            columns = (batch.column(c) for c in ("volume", "name", "content"))
+            columns = (batch.column(c).to_pylist() for c in ("volume", "name", "content"))
             for number, name, content in zip(*columns, strict=True):
-                if number.as_py() != volume:
+                if number != volume or out is None:
                     finish()
-                    volume, notes = number.as_py(), []
+                    volume, total, at, notes = number, 0, 0, []
                     out = store.open_output_stream(f"{place}/{volume}.tar")
-                    tar = tarfile.open(fileobj=out, mode="w|", format=tarfile.GNU_FORMAT)
-                body = content.as_py() or b""
-                info = tarfile.TarInfo(name.as_py())
-                info.size = len(body)
-                notes.append({"name": info.name, "offset": tar.offset + len(info.tobuf(tar.format, tar.encoding, tar.errors)), "size": len(body), "sha256": hashlib.sha256(body).hexdigest()})
-                tar.addfile(info, io.BytesIO(body))
+                body = content or b""
+                size, head = len(body), header(name, len(body))
+                at += len(head)
+                notes.append(f'{{"name": {json.dumps(name)}, "offset": {at}, "size": {size}, "sha256": "{hashlib.sha256(body).hexdigest()}"}}')
+                out.write(b"".join((head, body, b"\0" * (-size % BLOCK))))
+                at += size + -size % BLOCK
+                total += size
         finish()
         return Made(done)
 
@@ -158,9 +264,10 @@ class VolumeWriter(DataSourceArrowWriter):
             there = [f.path for f in store.get_file_info([f"{root}/{volume_name(v)}.tar" for v in numbers]) if f.type != fs.FileType.NotFound]
             if there:
                 raise ValueError(f"volumes are never written over: {there[0]}")
+            for folder in {f"{root}/{volume_name(v)}".rpartition("/")[0] for v in numbers}:
+                store.create_dir(folder, recursive=True)
             for v, held, _, _ in made:
                 place = f"{root}/{volume_name(v)}"
-                store.create_dir(place.rpartition("/")[0], recursive=True)
                 store.move(f"{held}.json", f"{place}.json")
                 store.move(f"{held}.tar", f"{place}.tar")
             rows = [(v, f"{volume_name(v)}.tar", n, size) for v, _, n, size in made]

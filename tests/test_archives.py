@@ -110,3 +110,35 @@ def test_broken_archives_are_errors(spark, tmp_path):
     whole.write_bytes(whole.read_bytes()[:3000])
     with pytest.raises(Exception, match="unexpected end of data"):
         archives.tar_files(spark, str(tmp_path)).collect()
+
+
+def test_headers_are_those_of_tarfile():
+    for name, size in (("a", 0), ("é/ü.json", 12), ("x" * 100, 8**11 - 1), ("x" * 101, 5), ("big", 8**11), ("7.json", 511)):
+        info = tarfile.TarInfo(name)
+        info.size = size
+        assert archives.header(name, size) == info.tobuf(tarfile.GNU_FORMAT, "utf-8", "surrogateescape")
+
+
+def test_members_of_any_archive_are_those_of_tarfile():
+    """Plain headers first, then folders, long names and pax headers, in all three formats, cut anywhere."""
+    for kind in (tarfile.USTAR_FORMAT, tarfile.GNU_FORMAT, tarfile.PAX_FORMAT):
+        made = io.BytesIO()
+        with tarfile.open(fileobj=made, mode="w", format=kind) as tar:
+            for name, size in (("a", 0), ("b.json", 3), ("c", 512), ("big", 3 << 20), ("d/", 0), ("p/" * 60 + "long", 700), ("é", 5), ("z", 1)):
+                info = tarfile.TarInfo(name)
+                info.size, info.type = size, tarfile.DIRTYPE if name.endswith("/") and len(name) < 5 else tarfile.REGTYPE
+                tar.addfile(info, io.BytesIO(b"x" * size))
+        body = made.getvalue()
+        with tarfile.open(fileobj=io.BytesIO(body)) as tar:
+            expected = [("a.tar", m.name, m.offset_data, m.size, tar.extractfile(m).read()) for m in tar if m.isfile()]
+        assert list(archives.members(io.BytesIO(body), "a.tar")) == expected and len(expected) == 7
+        for cut in (600, 1100, 2000, 4000, 3 << 20):
+            with pytest.raises(tarfile.ReadError):
+                list(archives.members(io.BytesIO(body[:cut]), "a.tar"))
+
+
+def test_small_archives_share_a_task():
+    few = archives.shares([archives.Archive(f"{i}", i, 10 << 20) for i in range(10)])
+    many = archives.shares([archives.Archive(f"{i}", i, 1 << 20) for i in range(50_000)])
+    assert len(few) == 10 and 1500 < len(many) < 2000 and [p for s in many for p in s.paths] == [f"{i}" for i in range(50_000)]
+    assert archives.shares([]) == [] and [s.paths for s in archives.shares([archives.Archive("a"), archives.Archive("b")])] == [["a", "b"]]
