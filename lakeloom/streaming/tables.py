@@ -1,7 +1,7 @@
 """A stored table that micro-batches are merged into: batches are kept as they come and merged when read.
 
-The stored rows lie in parts, each a range of the key's hash and one file; a batch adds
-a file with its own rows only, whatever keys it touches. Reading folds the batches to
+The stored rows lie in parts, each a range of the key's hash and a few files; a batch adds
+files with its own rows only, whatever keys it touches. Reading folds the batches to
 the last known value of each key's columns and lays them over the parts. Now and then
 some parts are rewritten with the batches' rows in them: those that much of the batches
 belongs to, and those whose files are out of bounds, which are split in halves of their
@@ -25,6 +25,10 @@ from pyspark.sql import functions as F
 #: bits of the key's hash are ``slot``), its bytes, its version, and up to which version it has the batches in it.
 PART = "place string, kind string, bits int, slot long, bytes long, version long, upto long"
 HASH, VERSION = "_hash", "_version"
+#: A part is written by up to this many tasks, each with a range of its hash; a batch by as many as a shuffle has.
+FILES_A_PART = 64
+#: Ranges that a batch's rows are dealt by; small ones are put together by adaptive execution.
+BATCH_BITS = 12
 
 
 def folder(spark: SparkSession, path: str):
@@ -114,8 +118,10 @@ class MergedTable:
 
     def _write_parts(self, rows: DataFrame, bits: int, slots: Iterable[int], place: str, version: int) -> list[dict]:
         """``rows`` (with HASH), all of ``slots``, as parts of ``bits`` bits below ``place``, a file each; one without rows has no place."""
-        many = min(1 << bits, max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) * 4))
-        rows.withColumn("slot", _first_bits(bits)).repartition(many, "slot").sortWithinPartitions("slot", HASH).write.mode("overwrite").partitionBy("slot").parquet(f"{self.path}/{place}")
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        # Ranges finer than the parts, for how many bytes a part has isn't known before: as many tasks as the shuffle has; adaptive execution puts small ones together.
+        more = min(int(math.log2(FILES_A_PART)), max(0, math.ceil(math.log2(tasks)) - bits))
+        rows.withColumn("slot", _first_bits(bits)).repartition(_first_bits(bits + more)).sortWithinPartitions("slot", HASH).write.mode("overwrite").partitionBy("slot").parquet(f"{self.path}/{place}")
         made = {int(n.split("=")[1]) for n in listed(self.spark, f"{self.path}/{place}") if n.startswith("slot=")}
         of = lambda s: (f"{place}/slot={s}", self._bytes(f"{place}/slot={s}")) if s in made else ("", 0)
         return [{"place": at, "kind": "part", "bits": bits, "slot": s, "bytes": held, "version": version, "upto": version} for s in slots for at, held in [of(s)]]
@@ -142,7 +148,7 @@ class MergedTable:
         parts = self.parts(before)
         for kind, some in (("batch", rows.where(F.col(self.key).isNotNull()).withColumn(VERSION, F.lit(version).cast("long"))), ("loose", rows.where(F.col(self.key).isNull()))):
             place = f"v{version}/{kind}"
-            some.repartition(F.shiftrightunsigned(HASH, 60)).sortWithinPartitions(HASH).write.mode("overwrite").parquet(f"{self.path}/{place}")
+            some.repartition(_first_bits(BATCH_BITS)).sortWithinPartitions(HASH).write.mode("overwrite").parquet(f"{self.path}/{place}")
             if not self.spark.read.schema(f"{HASH} bigint").parquet(f"{self.path}/{place}").isEmpty():
                 parts.append({"place": place, "kind": kind, "bits": 0, "slot": 0, "bytes": self._bytes(place), "version": version, "upto": version})
         if sum(p["kind"] == "batch" for p in parts) > self.most_batches:

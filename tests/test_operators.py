@@ -479,3 +479,15 @@ def test_the_size_query_labels_ten_million_rows_as_its_sql(spark, tmp_path):
         spark.range(n).write.parquet(str(tmp_path / f"{name}.parquet"))
     made = QUERIES["fn_size_bucket"](spark, str(tmp_path)).collect()
     assert {r.table_name: r.size_bucket for r in made} == {"orders": "more", "region": "n<1K", "lineitem": "1K<n<10K"}
+
+
+def test_a_part_is_written_by_many_tasks(spark, tmp_path):
+    """However few parts a table has at first, no task holds all of one."""
+    table = MergedTable(spark, str(tmp_path / "t"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table.write(spark.range(20_000), 0, bits=0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(table.parts(0)) == 1 and len(list((tmp_path / "t/v0/parts/slot=0").glob("*.parquet"))) > 1
+    assert table.read().count() == 20_000
