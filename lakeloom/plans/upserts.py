@@ -280,7 +280,7 @@ def _letters(t: Tables) -> DataFrame:
     later = t("region").limit(1).select(F.lit(-1).cast("long").alias("doc_id"), F.lit(True).alias("ok"), F.lit("2024-01-08").cast("timestamp").alias("at"))
     session = states.stateful_session(spark)
     for rows in (first, second, later):
-        rows.coalesce(1).write.mode("append").parquet(f"{place}/in")
+        rows.write.mode("append").parquet(f"{place}/in")
         stream = session.readStream.schema(rows.schema).parquet(f"{place}/in")
         made = states.dead_letters(stream, "doc_id", "ok", "at", wait=2 * DAY, expire=30 * DAY)
         made.writeStream.format("parquet").option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start(f"{place}/out").awaitTermination()

@@ -49,23 +49,32 @@ class DeadLetters(StatefulProcessor):
             self.handle.deleteTimer(t)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seen = pd.concat(list(rows)).sort_values(["at", "ok"])
-        for ok, at in zip(seen["ok"].tolist(), seen["at"].tolist(), strict=True):
-            attempts, first = self.failed.get() if self.failed.exists() else (0, at)
-            if ok:
-                if attempts:
-                    self._forget()
-                    yield self._row(key, "recovered", attempts, at)
-                continue
+        # The state is asked for once and told once: each call goes to Spark and back.
+        attempts, first = before = self.failed.get() or (0, None)
+        out, due = [], None
+        for at, ok in sorted(pair for r in rows for pair in zip(r["at"].tolist(), r["ok"].tolist(), strict=True)):
+            if not ok:
+                first = first if attempts else at
+                due = min(at + self.wait_ms * 2**attempts, first + self.expire_ms)
+                attempts += 1
+                out.append(("failed", attempts, at))
+            elif attempts:
+                out.append(("recovered", attempts, at))
+                attempts, first = 0, None
+        if not out:
+            return
+        if before[0]:
             self._forget()
-            self.failed.update((attempts + 1, first))
-            self.handle.registerTimer(min(at + self.wait_ms * 2**attempts, first + self.expire_ms))
-            yield self._row(key, "failed", attempts + 1, at)
+        if attempts:
+            self.failed.update((attempts, first))
+            self.handle.registerTimer(due)
+        yield pd.DataFrame({self.key: [key[0]] * len(out), "what": [w for w, _, _ in out], "attempts": [n for _, n, _ in out], "at": [a for _, _, a in out]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.failed.exists():
+        held = self.failed.get()
+        if not held:
             return
-        attempts, first = self.failed.get()
+        attempts, first = held
         at = expiredTimerInfo.getExpiryTimeInMs()
         if at >= first + self.expire_ms:
             self._forget()

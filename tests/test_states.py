@@ -59,3 +59,42 @@ def test_a_walk_ends_in_the_middle_of_its_data(spark, tmp_path, seed):
             break
     made = sorted((r.page, r.stop) for r in spark.read.schema("page long, stop boolean").parquet(str(tmp_path / "out")).collect())
     assert made == [(p, p == stop) for p in range(len(new) if stop is None else stop + 1)]
+
+
+class Calls:
+    """A state and its timers that count how often they are asked."""
+
+    def __init__(self, held=None):
+        self.held, self.timers, self.n = held, [], 0
+
+    def __getattr__(self, name):
+        def call(*given):
+            self.n += 1
+            if name == "get":
+                return self.held
+            if name == "exists":
+                return self.held is not None
+            if name in ("update", "clear"):
+                self.held = given[0] if given else None
+            if name == "registerTimer":
+                self.timers.append(given[0])
+            if name == "deleteTimer":
+                self.timers.remove(given[0])
+            return list(self.timers)
+
+        return call
+
+
+def test_a_key_asks_its_state_once():
+    import pandas as pd
+
+    def run(held, *rows):
+        p = states.DeadLetters("id", 10, 1000)
+        p.handle = p.failed = state = Calls(held)
+        made = [tuple(r) for frame in p.handleInputRows((1,), iter([pd.DataFrame(rows, columns=["ok", "at"])]), None) for r in frame.itertuples(index=False)]
+        return made, state.held, state.timers, state.n
+
+    assert run(None, (True, 5)) == ([], None, [], 1)
+    assert run(None, (False, 5)) == ([(1, "failed", 1, 5)], (1, 5), [15], 3)
+    made, held, timers, _ = run((2, 1), (False, 9), (True, 7), (False, 8))
+    assert made == [(1, "recovered", 2, 7), (1, "failed", 1, 8), (1, "failed", 2, 9)] and held == (2, 8) and timers == [29]
