@@ -30,6 +30,21 @@ def forgotten(df: DataFrame) -> None:
     df.sparkSession.sparkContext._jvm.java.lang.System.gc()
 
 
+def checkpointed_by(df: DataFrame, parts: int, key: str) -> DataFrame:
+    """``df`` dealt by ``key`` and checkpointed; what is grouped by ``key`` later is not dealt again.
+
+    A checkpoint keeps the partitioning that its plan tells, which adaptive plans don't;
+    this one has nothing to adapt, so it is planned without.
+    """
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return checkpointed(df.repartition(parts, key))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

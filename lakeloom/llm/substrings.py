@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, shuffle_partitions, table
+from .common import checkpointed, checkpointed_by, forgotten, shuffle_partitions, table
 from .suffix_sort import common_prefixes, sort_suffixes
 
 SEED = 16
@@ -359,10 +359,16 @@ def dedup_substrings(docs: DataFrame, window: int = 50, block_bytes: int = 4_000
         raise ValueError("window must be 24 to 79")
     buckets = shuffle_partitions(docs)
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = checkpointed(read.mapInArrow(_blocks(block_bytes), BLOCK))
-    seeds = blocks.mapInArrow(_send_seeds(window, buckets), SEEDS).groupBy("bucket").applyInArrow(_answer_seeds, SEEDS)
+    # The texts are dealt by home once, not again for each cogroup.
+    blocks = checkpointed_by(read.mapInArrow(_blocks(block_bytes), BLOCK), buckets, "home")
+    forgotten(blocks)
+    # Each step's answers are written, so that the shuffle files of what was asked can go before the next step.
+    seeds = checkpointed(blocks.mapInArrow(_send_seeds(window, buckets), SEEDS).groupBy("bucket").applyInArrow(_answer_seeds, SEEDS))
+    forgotten(seeds)
     strings = seeds.groupBy("home").cogroup(blocks.groupBy("home")).applyInArrow(_send_strings(window, buckets), STRINGS)
-    answers = strings.groupBy("bucket").applyInArrow(_sort_bucket(window, memory), STRINGS)
+    answers = checkpointed(strings.groupBy("bucket").applyInArrow(_sort_bucket(window, memory), STRINGS))
+    del seeds, strings
+    forgotten(answers)
     return answers.groupBy("home").cogroup(blocks.groupBy("home")).applyInArrow(_cut(window), CUT)
 
 
