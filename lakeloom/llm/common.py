@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import gc
 import json
+import time
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -20,13 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def forgotten(df: DataFrame) -> None:
+def forgotten(df: DataFrame, wait: bool = False) -> None:
     """Lets Spark remove the shuffle files of what was checkpointed and isn't referred to any more.
 
     It does so when the driver collects its garbage, which a small driver may not do for
-    many rounds of a loop.
+    many rounds of a loop. What Python gives up reaches the JVM by a thread that looks once a
+    second: loops release it a round later; before a long step, ``wait`` for it.
     """
     gc.collect()
+    if wait:
+        time.sleep(1.2)
     df.sparkSession.sparkContext._jvm.java.lang.System.gc()
 
 

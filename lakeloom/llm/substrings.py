@@ -361,10 +361,10 @@ def dedup_substrings(docs: DataFrame, window: int = 50, block_bytes: int = 4_000
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # The texts are dealt by home once, not again for each cogroup.
     blocks = checkpointed_by(read.mapInArrow(_blocks(block_bytes), BLOCK), buckets, "home")
-    forgotten(blocks)
+    forgotten(blocks, wait=True)
     # Each step's answers are written, so that the shuffle files of what was asked can go before the next step.
     seeds = checkpointed(blocks.mapInArrow(_send_seeds(window, buckets), SEEDS).groupBy("bucket").applyInArrow(_answer_seeds, SEEDS))
-    forgotten(seeds)
+    forgotten(seeds, wait=True)
     strings = seeds.groupBy("home").cogroup(blocks.groupBy("home")).applyInArrow(_send_strings(window, buckets), STRINGS)
     answers = checkpointed(strings.groupBy("bucket").applyInArrow(_sort_bucket(window, memory), STRINGS))
     del seeds, strings
